@@ -1,12 +1,13 @@
 """Accept-or-quarantine gate over raw JSON messages.
 
 The message is parsed once to VARIANT, so a missing field, a null, a wrong type
-and an unreadable text stay different things. Every field adds its error class to
-one array, and one reason code is chosen over the whole array.
+and an unreadable text stay different things. Every field gives a severity, and the
+highest one over the whole message becomes its one reason code.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,9 @@ INSTANT_TEXT = (
 ZERO_OFFSET_TEXT = r"^.{10}[Tt _].*([zZ]|[+-]00(:?00)?)$"
 OFFSET_SUFFIX = r"([zZ]|[+-]\d{2}(:?\d{2})?)$"
 
+# Which error decides when a message has several.
+SEVERITY = {S.RANGE: 3, S.PARSE: 2, S.SCHEMA: 1}
+
 NUMERIC_TYPES = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
 # Epoch numbers above this are milliseconds.
 EPOCH_MS_ABOVE = 2e10
@@ -37,7 +41,6 @@ class Probe:
 
     kind: Column
     text: Column
-    number: Column
 
     @property
     def is_text(self) -> Column:
@@ -52,14 +55,6 @@ class Probe:
         return self.kind == "BOOLEAN"
 
 
-@dataclass(frozen=True)
-class Checked:
-    """A field's typed value and its error class (null when the field is fine)."""
-
-    value: Column
-    error: Column
-
-
 def _with_probes(df: DataFrame, holder: str, prefix: str, names: tuple[str, ...]) -> DataFrame:
     """Read each field out of a variant map once, into plain columns."""
     columns = {}
@@ -67,25 +62,15 @@ def _with_probes(df: DataFrame, holder: str, prefix: str, names: tuple[str, ...]
         v = F.col(holder)[name]
         columns[f"{prefix}kind_{name}"] = F.schema_of_variant(v)
         columns[f"{prefix}text_{name}"] = F.try_variant_get(v, "$", "string")
-        columns[f"{prefix}number_{name}"] = F.try_variant_get(v, "$", "double")
     return df.withColumns(columns)
 
 
 def _probe(prefix: str, name: str) -> Probe:
-    return Probe(*[F.col(f"{prefix}{part}_{name}") for part in ("kind", "text", "number")])
+    return Probe(*[F.col(f"{prefix}{part}_{name}") for part in ("kind", "text")])
 
 
-def check_string(p: Probe) -> Checked:
-    return Checked(
-        F.when(p.is_text, p.text), F.when(p.kind.isNull() | ~p.is_text, S.SCHEMA)
-    )
-
-
-def check_member(p: Probe, allowed: tuple[str, ...]) -> Checked:
-    text = check_string(p)
-    return Checked(
-        text.value, F.when(text.value.isNull() | ~text.value.isin(*allowed), S.SCHEMA)
-    )
+def _error_if(condition: Column, reason: str) -> Column:
+    return F.when(condition, SEVERITY[reason]).otherwise(0)
 
 
 def _bounds_error(x: Column, lo: float | None, hi: float | None) -> Column:
@@ -95,101 +80,107 @@ def _bounds_error(x: Column, lo: float | None, hi: float | None) -> Column:
         outside = outside | F.isnan(x.cast("double")) | (x < lo)
     if hi is not None:
         outside = outside | (x > hi)
-    return F.when(outside, S.RANGE)
+    return _error_if(outside, S.RANGE)
 
 
 def _special_double(text: Column) -> Column:
-    # Spark reads NaN and Infinity in these spellings once trimmed and unsigned.
     word = F.lower(F.regexp_replace(F.trim(text), r"^[+-]", ""))
     sign = F.when(F.trim(text).startswith("-"), -1.0).otherwise(1.0)
     return F.when(word == "nan", F.lit(float("nan"))).otherwise(sign * F.lit(float("inf")))
 
 
-def _typed(p: Probe, value: Column, bounds: Column) -> Checked:
-    error = (
-        F.when(p.is_text & value.isNull(), S.PARSE)
-        .when(value.isNull(), S.SCHEMA)
-        .otherwise(bounds)
-    )
-    return Checked(value, error)
+def text_value(p: Probe) -> Column:
+    return F.when(p.is_text, p.text)
+
 
+def _decimal(p: Probe) -> Column:
+    """Numbers and numeric text as a double. A number's text is its JSON form."""
+    spelled = p.is_number | (p.is_text & p.text.rlike(DECIMAL_TEXT))
+    return F.when(spelled, F.trim(p.text).try_cast("double"))
 
-def check_double(p: Probe, lo: float | None = None, hi: float | None = None) -> Checked:
+
+def double_value(p: Probe) -> Column:
     """JSON numbers, booleans as 0 and 1, and numeric text."""
-    from_text = F.when(p.text.rlike(DECIMAL_TEXT), F.trim(p.text).try_cast("double")).when(
-        p.text.rlike(SPECIAL_TEXT), _special_double(p.text)
+    special = p.is_text & p.text.rlike(SPECIAL_TEXT)
+    return (
+        F.when(p.is_boolean, F.when(p.text == "true", 1.0).otherwise(0.0))
+        .when(special, _special_double(p.text))
+        .otherwise(_decimal(p))
     )
-    value = F.when(p.is_text, from_text).when(p.is_number | p.is_boolean, p.number)
-    return _typed(p, value, _bounds_error(value, lo, hi))
 
 
-def check_int(p: Probe, lo: int | None = None, hi: int | None = None) -> Checked:
+def int_value(p: Probe) -> Column:
     """Whole numbers in any spelling; a fractional number has the wrong type."""
     from_text = F.when(
         p.text.rlike(INTEGER_TEXT),
         F.regexp_replace(F.trim(p.text), r"\.0*$", "").try_cast("bigint"),
     )
-    whole = p.is_boolean | (p.is_number & (p.number == F.floor(p.number)))
-    value = F.when(p.is_text, from_text).when(whole, p.number.try_cast("bigint"))
-    checked = _typed(p, value, _bounds_error(value, lo, hi))
-    return Checked(value.try_cast("int"), checked.error)
+    number = p.text.try_cast("double")
+    whole = p.is_number & (number == F.floor(number))
+    return (
+        F.when(p.is_boolean, F.when(p.text == "true", 1).otherwise(0))
+        .when(p.is_text, from_text)
+        .when(whole, number.try_cast("bigint"))
+    )
 
 
-def check_utc(p: Probe) -> Checked:
-    """An instant with an explicit zero offset, or an epoch number.
+def number_error(p: Probe, value: Column, lo: float | None, hi: float | None) -> Column:
+    return (
+        F.when(value.isNotNull(), _bounds_error(value, lo, hi))
+        .when(p.is_text, SEVERITY[S.PARSE])
+        .otherwise(SEVERITY[S.SCHEMA])
+    )
 
-    The offset is judged on the text, since a cast would silently convert it.
-    """
+
+def member_error(value: Column, allowed: tuple[str, ...]) -> Column:
+    return _error_if(value.isNull() | ~value.isin(*allowed), S.SCHEMA)
+
+
+def epoch_value(p: Probe) -> Column:
+    """Epoch numbers, also as text: seconds, or milliseconds when too large for them."""
+    number = _decimal(p)
+    scale = F.when(F.abs(number) > EPOCH_MS_ABOVE, 1e3).otherwise(1e6)
+    return F.timestamp_micros((number * scale).try_cast("bigint"))
+
+
+def local_value(p: Probe) -> Column:
+    """The wall time an ISO text states, its offset left aside; null if unreadable."""
     text = F.trim(p.text)
-    number = F.when(p.is_text, F.when(text.rlike(DECIMAL_TEXT), text.try_cast("double"))).when(
-        p.is_number, p.number
-    )
-    seconds = F.when(F.abs(number) > EPOCH_MS_ABOVE, number / 1000.0).otherwise(number)
-    from_epoch = F.timestamp_micros((seconds * 1e6).try_cast("bigint"))
     # A bare date also ends in a sign and two digits, so only texts that carry a
     # time lose their offset.
     bare = F.regexp_replace(F.translate(text, "t_,", "T ."), OFFSET_SUFFIX, "")
-    local = F.when(F.length(text) > 10, bare).otherwise(text)
-    readable = F.when(text.rlike(INSTANT_TEXT), local.try_cast("timestamp"))
-    zero_offset = text.rlike(ZERO_OFFSET_TEXT)
-    value = F.when(number.isNotNull(), from_epoch).when(zero_offset, readable)
-    error = (
-        F.when(p.kind.isNull(), S.SCHEMA)
-        .when(from_epoch.isNotNull(), None)
-        .when(~p.is_text, S.SCHEMA)
-        .when(readable.isNull(), S.PARSE)
-        .when(~zero_offset, S.SCHEMA)
+    return F.when(
+        p.is_text & text.rlike(INSTANT_TEXT),
+        F.when(F.length(text) > 10, bare).otherwise(text).try_cast("timestamp"),
     )
-    return Checked(value, error)
 
 
-def classify_reason(errors: Column) -> Column:
-    """One code over all errors of a model: range, then parse, then schema."""
-    present = F.array_compact(errors)
-    return (
-        F.when(F.array_contains(present, S.RANGE), S.RANGE)
-        .when(F.array_contains(present, S.PARSE), S.PARSE)
-        .when(F.size(present) > 0, S.SCHEMA)
-    )
+def utc_value(p: Probe, epoch: Column, local: Column) -> Column:
+    """An instant with an explicit zero offset, or an epoch number.
+
+    The offset is judged on the text, since a cast would silently convert it.
+    """
+    return F.coalesce(epoch, F.when(F.trim(p.text).rlike(ZERO_OFFSET_TEXT), local))
+
 
+def utc_error(p: Probe, value: Column, local: Column) -> Column:
+    unreadable = p.is_text & local.isNull()
+    return F.when(value.isNotNull(), 0).when(unreadable, SEVERITY[S.PARSE]).otherwise(SEVERITY[S.SCHEMA])
 
-def _extra_keys(fields: Column, allowed: tuple[str, ...]) -> Column:
-    known = F.array(*[F.lit(a) for a in allowed])
-    return F.when(F.size(F.array_except(F.map_keys(fields), known)) > 0, S.SCHEMA)
+
+def classify_reason(*errors: Column) -> Column:
+    """One code over all errors of a model: range, then parse, then schema."""
+    worst = F.greatest(F.lit(0), *errors)
+    reason = F.lit(None).cast("string")
+    for code, severity in SEVERITY.items():
+        reason = F.when(worst == severity, code).otherwise(reason)
+    return reason
 
 
-def _check_field(checker: str, p: Probe, lo, hi, cfg: Settings) -> Checked:
-    if checker == "utc":
-        return check_utc(p)
-    if checker == "region":
-        return check_member(p, cfg.regions)
-    if checker == "construction":
-        return check_member(p, S.CONSTRUCTIONS)
-    if checker == "double":
-        return check_double(p, lo, hi)
-    if checker == "int":
-        return check_int(p, lo, hi)
-    return check_string(p)
+def _extra_keys(fields: Column, known: list[Probe]) -> Column:
+    """An object has no repeated keys, so more keys than known ones means a foreign one."""
+    present = sum((F.when(p.kind.isNotNull(), 1).otherwise(0) for p in known), F.lit(0))
+    return _error_if(F.size(fields) > present, S.SCHEMA)
 
 
 # Fields of all kinds; a name shared by two kinds has the same rule in both.
@@ -199,31 +190,47 @@ ALL_FIELDS = {f[0]: f for fields in S.PAYLOAD_FIELDS.values() for f in fields}
 def with_field_checks(df: DataFrame, cfg: Settings, fields: str = "_fields") -> DataFrame:
     """Add ``_v_<name>`` and ``_e_<name>`` for every payload field."""
     probed = _with_probes(df, fields, "_p_", tuple(ALL_FIELDS))
-    checks = {
-        name: _check_field(checker, _probe("_p_", name), lo, hi, cfg)
-        for name, checker, lo, hi in ALL_FIELDS.values()
-    }
-    columns = {f"_v_{n}": c.value.cast(S.EVENT_SCHEMA[n].dataType) for n, c in checks.items()}
-    columns |= {f"_e_{n}": c.error for n, c in checks.items()}
-    return probed.withColumns(columns)
+    probes = {name: _probe("_p_", name) for name in ALL_FIELDS}
+    times = [n for n, rule, *_ in ALL_FIELDS.values() if rule == "utc"]
+    probed = probed.withColumns(
+        {f"_epoch_{n}": epoch_value(probes[n]) for n in times}
+        | {f"_local_{n}": local_value(probes[n]) for n in times}
+    )
+    values, errors = {}, {}
+    for name, rule, lo, hi in ALL_FIELDS.values():
+        p, value, local = probes[name], F.col(f"_v_{name}"), F.col(f"_local_{name}")
+        if rule == "utc":
+            values[name] = utc_value(p, F.col(f"_epoch_{name}"), local)
+            errors[name] = utc_error(p, value, local)
+        elif rule in ("double", "int"):
+            values[name] = double_value(p) if rule == "double" else int_value(p)
+            errors[name] = number_error(p, value, lo, hi)
+        else:
+            values[name] = text_value(p)
+            allowed = {"region": cfg.regions, "construction": S.CONSTRUCTIONS}.get(rule)
+            errors[name] = (
+                member_error(value, allowed) if allowed else _error_if(value.isNull(), S.SCHEMA)
+            )
+    return probed.withColumns({f"_v_{n}": v for n, v in values.items()}).withColumns(
+        {f"_e_{n}": e for n, e in errors.items()}
+    )
 
 
-def payload_errors(event_type: str, fields: str = "_fields") -> Column:
-    """Error classes of one payload under the model of ``event_type``."""
+def payload_errors(event_type: str, fields: str = "_fields") -> list[Column]:
+    """Severities of one payload under the model of ``event_type``."""
     names = tuple(f[0] for f in S.PAYLOAD_FIELDS[event_type])
-    return F.array(*[F.col(f"_e_{n}") for n in names], _extra_keys(F.col(fields), names))
+    extra = _extra_keys(F.col(fields), [_probe("_p_", n) for n in names])
+    return [*(F.col(f"_e_{n}") for n in names), extra]
 
 
 def event_struct(event_type: str) -> Column:
     mine = {f[0] for f in S.PAYLOAD_FIELDS[event_type]}
-    return F.struct(
-        *[
-            F.lit(event_type).alias(f.name)
-            if f.name == "event_type"
-            else (F.col(f"_v_{f.name}") if f.name in mine else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in S.EVENT_SCHEMA.fields
-        ]
-    )
+    columns = []
+    for f in S.EVENT_SCHEMA.fields:
+        value = F.col(f"_v_{f.name}") if f.name in mine else F.lit(None)
+        value = F.lit(event_type) if f.name == "event_type" else value
+        columns.append(value.cast(f.dataType).alias(f.name))
+    return F.struct(*columns)
 
 
 def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
@@ -243,27 +250,38 @@ def _claimed_type(p: Probe) -> Column:
     )
 
 
-def validate_envelopes(raw: DataFrame, cfg: Settings, value: str = "value") -> DataFrame:
+def validate_envelopes(
+    raw: DataFrame, cfg: Settings, value: str = "value", metrics: str | None = None
+) -> DataFrame:
     """Add ``claimed_type``, ``key_region``, ``reason_code`` (null when accepted) and
     ``event``, a struct in the wide event layout that is null for rejected messages.
 
-    Envelope errors are decided before the payload is looked at.
+    Envelope errors are decided before the payload is looked at. The counters are
+    observed under the name ``metrics``. The observation also keeps filters on the
+    reason above the checks: pushed below, they would repeat the whole parse.
     """
     env, fields = F.col("_env"), F.col("_fields")
     kind_probe, key_probe = _probe("_m_", "event_type"), _probe("_m_", "key")
-    payload_error = F.when(env["payload"].isNull(), S.SCHEMA).when(fields.isNull(), S.PARSE)
-    envelope = F.array(
-        check_member(kind_probe, S.EVENT_TYPES).error,
-        check_member(key_probe, cfg.regions).error,
+    payload_error = (
+        F.when(env["payload"].isNull(), SEVERITY[S.SCHEMA])
+        .when(fields.isNull(), SEVERITY[S.PARSE])
+        .otherwise(0)
+    )
+    present = F.when(env["payload"].isNotNull(), 1).otherwise(0)
+    for probe in (kind_probe, key_probe):
+        present = present + F.when(probe.kind.isNotNull(), 1).otherwise(0)
+    envelope = classify_reason(
+        member_error(text_value(kind_probe), S.EVENT_TYPES),
+        member_error(text_value(key_probe), cfg.regions),
         payload_error,
-        _extra_keys(env, S.ENVELOPE_FIELDS),
+        _error_if(F.size(env) > present, S.SCHEMA),
     )
     probed = _with_probes(parse_messages(raw, value), "_env", "_m_", ("event_type", "key"))
     checked = with_field_checks(probed, cfg).withColumns(
         {
             "claimed_type": _claimed_type(kind_probe),
-            "key_region": F.when(key_probe.is_text, key_probe.text),
-            "_envelope_reason": F.when(env.isNull(), S.PARSE).otherwise(classify_reason(envelope)),
+            "key_region": text_value(key_probe),
+            "_envelope_reason": F.when(env.isNull(), S.PARSE).otherwise(envelope),
         }
     )
     ok = F.col("_envelope_reason").isNull()
@@ -271,12 +289,12 @@ def validate_envelopes(raw: DataFrame, cfg: Settings, value: str = "value") -> D
     event = F.lit(None)
     for event_type in S.EVENT_TYPES:
         mine = F.col("claimed_type") == event_type
-        reason = F.when(mine, classify_reason(payload_errors(event_type))).otherwise(reason)
+        reason = F.when(mine, classify_reason(*payload_errors(event_type))).otherwise(reason)
         event = F.when(mine, event_struct(event_type)).otherwise(event)
     judged = checked.withColumn("reason_code", F.when(ok, reason).otherwise(F.col("_envelope_reason")))
     return judged.withColumn("event", F.when(F.col("reason_code").isNull(), event)).select(
         *raw.columns, "claimed_type", "key_region", "reason_code", "event"
-    )
+    ).observe(metrics or f"gate_{uuid.uuid4().hex}", *gate_counts())
 
 
 def valid_events(gated: DataFrame) -> DataFrame:

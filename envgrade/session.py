@@ -21,6 +21,8 @@ TUNING_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Call sites per expression make wide plans slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -63,14 +63,16 @@ def explode_station_hours(pages: DataFrame, locations: DataFrame, body: str = "b
 
 
 def explode_hourly(pages: DataFrame, variables: tuple[str, ...], body: str = "body") -> DataFrame:
-    """Parallel arrays to one row per slot: ``time`` text, ``offset``, and the variables."""
+    """Parallel arrays to one row per slot: ``slot`` number, ``time`` text, ``offset`` and
+    the variables."""
     page = F.from_json(F.col(body), _series_schema(variables))
     parsed = pages.withColumn("_page", page).drop(body)
     zipped = F.arrays_zip(*[F.col(f"_page.hourly.{c}").alias(c) for c in ("time", *variables)])
     return (
         parsed.withColumn("offset", F.col("_page.utc_offset_seconds"))
-        .select("*", F.inline(zipped))
-        .drop("_page")
+        .select("*", F.posexplode(zipped).alias("slot", "_at"))
+        .select("*", "_at.*")
+        .drop("_page", "_at")
     )
 
 
@@ -127,8 +129,11 @@ def weather_air_join(weather: DataFrame, air: DataFrame) -> DataFrame:
     usable = air.where(
         (F.col("offset") == 0) & F.col("aerosol_optical_depth").isNotNull() & F.col("pm2_5").isNotNull()
     )
-    # The last of repeated slots wins, as it is the later value of the page.
-    slots = usable.select("region", "city", "time", *AIR_VARIABLES).dropDuplicates(["region", "city", "time"])
+    # Of a repeated time the later slot of the page counts.
+    latest = F.max_by(F.struct(*AIR_VARIABLES), "slot")
+    slots = usable.groupBy("region", "city", "time").agg(latest.alias("_a")).select(
+        "region", "city", "time", "_a.*"
+    )
     return weather.join(slots, ["region", "city", "time"], "left")
 
 
