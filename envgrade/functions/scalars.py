@@ -78,7 +78,8 @@ def freshness_line(newest_start: Column, minutes: int) -> Column:
 
 
 def absent_marker(value: Column, decimals: int = 1) -> Column:
-    return F.coalesce(F.format_string(f"%.{decimals}f", value), F.lit("not recorded"))
+    shown = F.format_string(f"%.{decimals}f", value)
+    return F.when(value.isNotNull(), shown).otherwise("not recorded")
 
 
 def record_json(*columns: str) -> Column:

@@ -340,3 +340,51 @@ def qualifying_city_hours(stations: DataFrame, cfg: Settings) -> DataFrame:
         F.count_if(F.col("n") >= cfg.min_stations).alias("qualifying_hours"),
         F.count(F.lit(1)).alias("hours"),
     )
+
+
+def capture_report(
+    window_name: str,
+    gated: DataFrame,
+    stations: DataFrame,
+    models: DataFrame,
+    admitted: DataFrame,
+    resolved: DataFrame,
+) -> DataFrame:
+    """The counts-only record of a capture: ``section``, ``name``, ``n``, ``text``.
+
+    Counts, timestamps and causes, and no measured value.
+    """
+
+    def lines(df: DataFrame, section: str, name: Column, n: Column | None, text: Column | None) -> DataFrame:
+        return df.select(
+            F.lit(section).alias("section"),
+            name.cast("string").alias("name"),
+            (F.lit(None) if n is None else n).cast("bigint").alias("n"),
+            (F.lit(None) if text is None else text).cast("string").alias("text"),
+        )
+
+    def unpivot(row: DataFrame, section: str) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("bigint").alias("v")) for c in row.columns])
+        return lines(row.select(F.inline(pairs)), section, F.col("k"), F.col("v"), None)
+
+    bounds = observed_bounds(stations, models)
+    span = F.concat_ws("/", F.date_format("min_ts", "yyyy-MM-dd HH:mm"), F.date_format("max_ts", "yyyy-MM-dd HH:mm"))
+    cities = rows_per_city(stations, models)
+    parts = [
+        lines(bounds, "window_requested", F.lit(window_name), None, F.col("side")),
+        lines(bounds, "observed_bounds", F.col("side"), F.col("n_rows"), span),
+        lines(cities, "station_rows", F.col("city"), F.col("station_rows"), None),
+        lines(cities, "model_rows", F.col("city"), F.col("model_rows"), None),
+        unpivot(gate_tally(gated), "validity_gate"),
+        unpivot(resolution_summary(resolved), "sensor_resolution"),
+        lines(
+            off_hour_breakdown(gated).where("level = 1"),
+            "off_hour_by_city", F.col("city"), F.col("n_rows"), None,
+        ),
+    ]
+    excluded = cities_without_rows(admitted, gated)
+    parts.append(lines(excluded, "exclusions", F.col("city"), F.col("off_hour_rows"), F.col("cause")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

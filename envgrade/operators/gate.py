@@ -216,6 +216,17 @@ def with_field_checks(df: DataFrame, cfg: Settings, fields: str = "_fields") ->
     )
 
 
+def parse_utc(df: DataFrame, value: str, cfg: Settings) -> DataFrame:
+    """Judge one JSON value as an instant: ``instant`` and ``reason_code``."""
+    holder = df.withColumn("_fields", F.create_map(F.lit("ts"), F.try_parse_json(F.col(value))))
+    checked = with_field_checks(holder, cfg)
+    return checked.select(
+        *df.columns,
+        F.col("_v_ts").alias("instant"),
+        classify_reason(F.col("_e_ts")).alias("reason_code"),
+    )
+
+
 def payload_errors(event_type: str, fields: str = "_fields") -> list[Column]:
     """Severities of one payload under the model of ``event_type``."""
     names = tuple(f[0] for f in S.PAYLOAD_FIELDS[event_type])
@@ -298,7 +309,12 @@ def validate_envelopes(
 
 
 def valid_events(gated: DataFrame) -> DataFrame:
-    return gated.where(F.col("reason_code").isNull()).select("event.*")
+    """Accepted events as columns.
+
+    They are generated rather than projected, so that a later join on one of them
+    does not make the planner trace it back through every check of the gate.
+    """
+    return gated.where(F.col("reason_code").isNull()).select(F.inline(F.array("event")))
 
 
 def quarantine_rows(gated: DataFrame, value: str = "value") -> DataFrame:

@@ -75,7 +75,7 @@ def reported_never_resolved(
         & _same(F.col("station_pm25_ugm3"), F.col("station_said"))
         & _same(F.col("model_pm25_ugm3"), F.col("model_said"))
     )
-    return both.drop("reported").withColumn("violation", ~fine)
+    return both.withColumn("violation", ~fine).drop("reported")
 
 
 def _rounded_index(records: DataFrame) -> DataFrame:

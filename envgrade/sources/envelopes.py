@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -39,8 +39,11 @@ def read_envelopes(
     )
 
 
-def wrap_envelopes(events: DataFrame) -> DataFrame:
-    """Typed wide events to ``key``, ``value``: the fields of the kind and no others."""
+def wrap_envelopes(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed wide events to ``key``, ``value``: the fields of the kind and no others.
+
+    Columns in ``keep`` stay beside the message.
+    """
     payload = F.lit(None).cast("string")
     for event_type, fields in S.PAYLOAD_FIELDS.items():
         columns = [
@@ -56,7 +59,7 @@ def wrap_envelopes(events: DataFrame) -> DataFrame:
             {"ignoreNullFields": "false"},
         )
         payload = F.when(F.col("event_type") == event_type, body).otherwise(payload)
-    return events.select(F.col("region").alias("key"), payload.alias("value"))
+    return events.select(*keep, F.col("region").alias("key"), payload.alias("value"))
 
 
 def union_sources(

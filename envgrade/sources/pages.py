@@ -265,16 +265,16 @@ ADMISSION_SCHEMA = (
 )
 
 
-def read_admission(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:
+def read_admission(
+    spark: SparkSession, path: str, version: str | None = None, multi_line: bool = True
+) -> DataFrame:
     """Locations of the named admission artifact, or of the newest.
 
-    Artifacts are JSON documents named by their date; the newest is the greatest
-    name. Each city's id list becomes rows.
+    An artifact's version is the date it was derived on. A large one may be split
+    over several documents, one per line with ``multi_line=False``.
     """
-    documents = spark.read.schema(ADMISSION_SCHEMA).option("multiLine", "true").json(path)
-    dated = documents.withColumn(
-        "version", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1)
-    )
+    documents = spark.read.schema(ADMISSION_SCHEMA).option("multiLine", multi_line).json(path)
+    dated = documents.withColumn("version", F.substring("derived_at", 1, 10))
     if version is None:
         version = dated.agg(F.max("version")).first()[0]
     chosen = dated.where(F.col("version") == F.lit(version))
