@@ -522,7 +522,7 @@ ORACLE: dict[str, str] = {
     "x_02_verbal_label": SCALAR.format("CASE WHEN event_id % 9 = 0 THEN NULL WHEN value <= 33.34e0 THEN 'low' WHEN value <= 66.67e0 THEN 'medium' ELSE 'high' END AS label"),
     "x_03_mqo_tolerance": SCALAR.format(f"round({TOLERANCE.format(o='value - 50e0')}, 10) AS tolerance"),
     "x_04_window_bounds": SCALAR.format(f"{_bucket(30)} AS start_30, {_bucket(30)} + INTERVAL '30 minutes' AS end_30"),
-    "x_05_half_diagonal": SCALAR.format("round(500e0 * sqrt(pow(44.528e0, 2) + pow(44.528e0 * cos(radians(value / 10e0)), 2)), 8) AS half_diagonal_m"),
+    "x_05_half_diagonal": SCALAR.format("round(500e0 * sqrt(pow(44.528e0, 2) + pow(44.528e0 * cos(radians(value / 10e0)), 2)), 6) AS half_diagonal_m"),
     "x_06_station_radius": SCALAR.format("""CAST(floor(least(25000e0, 500e0 * sqrt(pow(44.528e0, 2) + pow(44.528e0 * cos(radians(value / 6e0)), 2)))) AS BIGINT) AS radius_m,
         500e0 * sqrt(pow(44.528e0, 2) + pow(44.528e0 * cos(radians(value / 6e0)), 2)) > 25000 AS capped"""),
     "x_07_canonical_key": SCALAR.format("strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS key"),

@@ -911,7 +911,7 @@ query("x_04_window_bounds")(
     )
 )
 query("x_05_half_diagonal")(
-    _events_with(half_diagonal_m=lambda: X.half_diagonal_m(F.lit(0.4), F.col("value") / 10.0, CFG))
+    _events_with(half_diagonal_m=lambda: F.round(X.half_diagonal_m(F.lit(0.4), F.col("value") / 10.0, CFG), 6))
 )
 query("x_06_station_radius")(
     _events_with(

@@ -18,6 +18,10 @@ WEATHER_VARIABLES = ("temperature_2m", "precipitation", "wind_speed_10m", "cloud
 AIR_VARIABLES = ("aerosol_optical_depth", "pm2_5")
 
 
+# The default format of JSON timestamps stops at milliseconds.
+CAPTURE_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def _series_schema(variables: tuple[str, ...]) -> str:
     arrays = ", ".join(f"{v}: ARRAY<DOUBLE>" for v in variables)
     return f"utc_offset_seconds BIGINT, hourly STRUCT<time: ARRAY<STRING>, {arrays}>"
@@ -256,7 +260,8 @@ def read_capture(spark: SparkSession, root: str, window_name: str, cfg: Settings
 
 def write_capture(stations: DataFrame, models: DataFrame, root: str, window_name: str) -> None:
     for side, df in (("station", stations), ("model", models)):
-        df.write.mode("overwrite").json(f"{root}/{window_name}/{side}")
+        writer = df.write.mode("overwrite").option("timestampFormat", CAPTURE_TIME)
+        writer.json(f"{root}/{window_name}/{side}")
 
 
 ADMISSION_SCHEMA = (
