@@ -24,10 +24,13 @@ BINS_PER_OCTAVE = 1024
 
 
 def _bin(value: Column) -> Column:
-    """Monotone bin number: fine near zero, 0.07 % wide elsewhere. NaN sorts last."""
+    """Monotone bin number: fine near zero, 0.07 % wide elsewhere.
+
+    NaN shares the last bin with infinity, where the sort by value puts it last.
+    """
     magnitude = F.floor(F.log2(F.lit(1.0) + F.abs(value)) * F.lit(float(BINS_PER_OCTAVE)))
     signed = F.when(value < 0, -magnitude).otherwise(magnitude)
-    return F.when(F.isnan(value), F.lit(2**62)).otherwise(signed)
+    return F.when(F.isnan(value), F.lit(2**63 - 1)).otherwise(signed)
 
 
 def exact_percentiles(
@@ -112,3 +115,29 @@ def exact_percentiles(
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     return exact_percentiles(df, keys, value, {name: 0.5})
+
+
+def exact_profile(
+    df: DataFrame, keys: Sequence[str], wanted: Mapping[str, Mapping[str, float]]
+) -> DataFrame:
+    """Percentiles of several columns in one pass: ``{column: {output name: prob}}``.
+
+    The columns are stacked under a metric name, so the input is read and shuffled
+    once for all of them. Groups without any value of any column do not appear.
+    """
+    probs = sorted({p for names in wanted.values() for p in names.values()})
+    labels = {p: f"_q{i}" for i, p in enumerate(probs)}
+    stacked = F.array(
+        *[
+            F.struct(F.lit(c).alias("_metric"), F.col(c).cast("double").alias("_x"))
+            for c in wanted
+        ]
+    )
+    long = df.select(*keys, F.inline(stacked))
+    found = exact_percentiles(long, [*keys, "_metric"], "_x", {labels[p]: p for p in probs})
+    picks = [
+        F.max(F.when(F.col("_metric") == c, F.col(labels[p]))).alias(name)
+        for c, names in wanted.items()
+        for name, p in names.items()
+    ]
+    return found.groupBy(*keys).agg(*picks)

@@ -16,7 +16,7 @@ from envgrade.config import Settings, WindowSpan
 from envgrade.functions.dims import literal_table
 from envgrade.functions.scalars import mqo_tolerance, verbal_label
 from envgrade.operators.index import with_windows
-from envgrade.operators.percentiles import exact_median, exact_percentiles
+from envgrade.operators.percentiles import exact_median, exact_percentiles, exact_profile
 
 POOLED = "pooled"
 
@@ -156,12 +156,16 @@ def bias_table(cw: DataFrame) -> DataFrame:
     out = rows.groupBy("city").agg(
         F.count(F.lit(1)).alias("covered"), F.count_if(is_flagged()).alias("flagged")
     )
-    for value, name in (
-        ("station_pm25_ugm3", "station_median"),
-        ("model_pm25_ugm3", "model_median"),
-        ("tolerance", "tolerance_median"),
-    ):
-        out = out.join(exact_median(rows, ["city"], value, name).drop("n"), "city", "inner")
+    medians = exact_profile(
+        rows,
+        ["city"],
+        {
+            "station_pm25_ugm3": {"station_median": 0.5},
+            "model_pm25_ugm3": {"model_median": 0.5},
+            "tolerance": {"tolerance_median": 0.5},
+        },
+    )
+    out = out.join(medians, "city", "inner")
     station = F.when(F.col("station_median") != 0, F.col("station_median"))
     return out.withColumns(
         {
@@ -177,15 +181,10 @@ def difference_quartiles(cw: DataFrame) -> DataFrame:
     rows = cw.where(is_covered()).withColumn("diff", _distance())
     rows = rows.withColumn("ratio", F.col("diff") / F.col("tolerance"))
     quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
-    out = None
-    for value, wanted in (
-        ("diff", quartiles),
-        ("tolerance", quartiles),
-        ("ratio", {"median": 0.5, "max": 1.0}),
-    ):
-        part = exact_percentiles(rows, ["city"], value, {f"{value}_{k}": p for k, p in wanted.items()})
-        out = part if out is None else out.join(part.drop("n"), "city", "inner")
-    return out
+    wanted = {v: {f"{v}_{q}": p for q, p in quartiles.items()} for v in ("diff", "tolerance")}
+    wanted["ratio"] = {"ratio_median": 0.5, "ratio_max": 1.0}
+    counts = rows.groupBy("city").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(exact_profile(rows, ["city"], wanted), "city", "inner")
 
 
 def zero_model_passes(bias: DataFrame, cfg: Settings) -> DataFrame:

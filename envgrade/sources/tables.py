@@ -88,10 +88,19 @@ def with_legacy_states(df: DataFrame) -> DataFrame:
     return df.select(*columns, *extra)
 
 
+def _by_partition(df: DataFrame, *columns: str) -> DataFrame:
+    """Bring a partition's rows together before writing, so that files are few.
+
+    A rebalance splits a partition that is too large for one task and joins small
+    ones, by the sizes seen at run time.
+    """
+    return df.hint("rebalance", *columns)
+
+
 def append_raw(events: DataFrame, path: str) -> None:
     """Append accepted events of every kind, as they are, duplicates included."""
     (
-        events.withColumn("event_date", F.to_date("ts"))
+        _by_partition(events.withColumn("event_date", F.to_date("ts")), "event_date", "region")
         .write.mode("append")
         .partitionBy("event_date", "region")
         .parquet(path)
@@ -100,10 +109,11 @@ def append_raw(events: DataFrame, path: str) -> None:
 
 def write_raw_batch(events: DataFrame, path: str, batch_id: int) -> None:
     """The stream's raw append: a replayed batch replaces its own files."""
+    dated = events.withColumns(
+        {"batch_id": F.lit(int(batch_id)).cast("bigint"), "event_date": F.to_date("ts")}
+    )
     (
-        events.withColumns(
-            {"batch_id": F.lit(int(batch_id)).cast("bigint"), "event_date": F.to_date("ts")}
-        )
+        _by_partition(dated, "event_date", "region")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id", "event_date", "region")
