@@ -16,6 +16,7 @@ from envgrade import schemas as S
 from envgrade.config import CITIES, REGIONS, Settings, WindowSpan
 from envgrade.functions.dims import literal_table
 from envgrade.operators.capture import station_hour_gate
+from envgrade.session import land, spread_if_narrow
 from envgrade.sources.envelopes import wrap_envelopes
 from envgrade.sources.pages import explode_station_hours
 
@@ -132,7 +133,8 @@ def satellites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One envelope per event; some are spoilt, by event number, in ten ways."""
-    wrapped = wrap_envelopes(events(spark, sf_dir, keep=("event_id",)), keep=("event_id",))
+    source = spread_if_narrow(table(spark, sf_dir, "events"))
+    wrapped = wrap_envelopes(to_events(source, keep=("event_id",)), keep=("event_id",))
     # Fault by event number, pattern and replacement, in this order.
     faults = (
         (97, '"(rainfall_mm|cloud_cover_pct|sample_count)":[^,}]*', '"$1":-7'),
@@ -158,7 +160,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hour_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One provider page of one hour entry per event, some of them unusable."""
-    base = _base(table(spark, sf_dir, "events"))
+    base = _base(spread_if_narrow(table(spark, sf_dir, "events")))
 
     def every(n: int) -> Column:
         return F.col("event_id") % n == 0
@@ -207,6 +209,11 @@ def gated_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return station_hour_gate(explode_station_hours(pages, hour_locations(spark, sf_dir)))
 
 
+def landed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gated hours as a table, for reports that read them more than once."""
+    return land(gated_hours(spark, sf_dir).drop("entry"), "hours")
+
+
 def _series_pages(hourly: DataFrame, variables: dict[str, str], bad_offset: Column) -> DataFrame:
     """Parallel-array pages of one city and day, so at most 24 slots long."""
     slots = F.array_sort(F.collect_list(F.struct("hour", *variables)))

@@ -321,7 +321,7 @@ def _(spark, d):
 
 @query("k_09_capture_report")
 def _(spark, d):
-    hours = I.gated_hours(spark, d)
+    hours = I.landed_hours(spark, d)
     return CP.capture_report(
         "month", hours, CP.retained_stations(hours), I.satellites(spark, d),
         I.candidate_locations(spark, d), resolved(spark, d),
@@ -534,7 +534,7 @@ def _(spark, d):
 @query("j_09_cities_without_rows")
 def _(spark, d):
     # Location granularity stands in for cities, so that some contribute nothing.
-    hours = I.gated_hours(spark, d)
+    hours = I.landed_hours(spark, d)
     east = hours.where(F.col("region") == "ASI").withColumn(
         "gate_reason", F.when(F.col("gate_reason") == CP.RETAINED, CP.NOT_ALIGNED).otherwise(F.col("gate_reason"))
     )
@@ -660,7 +660,7 @@ def _(spark, d):
 
 @query("a_18_breakdown_checks")
 def _(spark, d):
-    hours = I.gated_hours(spark, d)
+    hours = I.landed_hours(spark, d)
     return CP.breakdown_checks(hours, CP.retained_stations(hours), resolved(spark, d))
 
 
@@ -737,7 +737,7 @@ def _(spark, d):
 
 @query("a_32_station_population")
 def _(spark, d):
-    hours = I.gated_hours(spark, d)
+    hours = I.landed_hours(spark, d)
     return CP.station_population(CP.retained_stations(hours), CP.off_hour_rows(hours))
 
 

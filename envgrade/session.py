@@ -68,3 +68,20 @@ def broadcast_if_bounded(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
     (or a broadcast of its own, after measuring the size at run time).
     """
     return F.broadcast(df) if rows <= max_rows else df
+
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Spread a batch input over the cores when it has fewer splits than there are.
+
+    Meant for costly per-row work such as parsing JSON out of a few files. An input
+    that already has enough splits is left alone and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def land(df: DataFrame, label: str) -> DataFrame:
+    """Write a result that several branches read to the shared folder, and read it back."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
