@@ -39,11 +39,18 @@ def index_inputs(events: DataFrame) -> DataFrame:
 
 def aggregate_windows(events: DataFrame, cfg: Settings) -> DataFrame:
     # avg and count combine map-side, so the shuffle carries one row per task and
-    # window however many events the busiest region has.
-    return (
-        with_windows(index_inputs(events), cfg.window_minutes)
-        .groupBy(*S.KEY)
-        .agg(*window_means())
+    # window however many events the busiest region has. The window stays whole as
+    # the key: in a stream only the window itself, not its start, carries the
+    # watermark that lets finished state go.
+    window = F.window("ts", f"{cfg.window_minutes} minutes")
+    means = window_means()
+    grouped = index_inputs(events).groupBy("region", window.alias("window")).agg(*means)
+    kept = [c for c in grouped.columns if c not in ("region", "window")]
+    return grouped.select(
+        "region",
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+        *kept,
     )
 
 

@@ -42,7 +42,11 @@ def _progress_dict(progress) -> dict:
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows the watermark excluded, over the progress reports still held."""
+    """Rows the watermark excluded, over the progress reports still held.
+
+    Spark drops after its map-side combine, so late rows of one window that met in
+    one task count once: zero means none were late, and more is a lower bound.
+    """
     return sum(progress_row(_progress_dict(p))[8] for p in query.recentProgress)
 
 
