@@ -963,7 +963,9 @@ def _(spark, d):
 
 
 def _stream_messages(spark: SparkSession, d: str) -> DataFrame:
-    return EV.wrap_envelopes(I.to_events(_event_stream(spark, d)))
+    # One file is one split; the messages are built and parsed on all cores.
+    raw = _event_stream(spark, d).repartition(spark.sparkContext.defaultParallelism)
+    return EV.wrap_envelopes(I.to_events(raw))
 
 
 def _stream_index(spark: SparkSession, d: str):
