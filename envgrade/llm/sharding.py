@@ -27,7 +27,8 @@ from envgrade.llm.common import content, cut, table
 
 RING_BITS = 63
 CELL_BITS = 12
-BUCKET_ROWS = 250_000
+# Rows ranked by one task at most, and at least when an arc is split.
+BUCKET_ROWS = (64, 250_000)
 
 
 def ring_points(shards: int, vnodes: int) -> list[tuple[int, int]]:
@@ -123,11 +124,12 @@ def shard_rows(
     for arc, n in placed.groupBy("arc").count().collect():
         counts[arc] = n
     moves = walk(points, counts, capacities(sum(counts), shards, overload))
+    most = min(max(BUCKET_ROWS[0], 2 * sum(counts) // len(points)), BUCKET_ROWS[1])
     per_arc: dict[int, list] = {arc: [] for arc in range(len(points))}
     for arc, start, end, shard, slot in moves:
         per_arc[arc].append((start, end, shard, slot))
     arcs = spark.createDataFrame(
-        [(arc, max(1, ceil(counts[arc] / BUCKET_ROWS)), parts) for arc, parts in per_arc.items()],
+        [(arc, max(1, ceil(counts[arc] / most)), parts) for arc, parts in per_arc.items()],
         T._parse_datatype_string(
             "arc int, split int, parts array<struct<start: long, end: long, shard: int, slot: long>>"
         ),
