@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from envgrade.llm.bpe import op2_bpe
 from envgrade.llm.pii import op5_pii
 from envgrade.llm.sharding import op1_sharding
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_bpe": op2_bpe,
     "op5_pii": op5_pii,
 }
 ORACLE: dict[str, str] = {}
