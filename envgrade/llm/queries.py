@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from envgrade.llm.bpe import op2_bpe
+from envgrade.llm.packing import op8_packing
 from envgrade.llm.pii import op5_pii
 from envgrade.llm.sharding import op1_sharding
 
@@ -10,5 +11,6 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
     "op5_pii": op5_pii,
+    "op8_packing": op8_packing,
 }
 ORACLE: dict[str, str] = {}
