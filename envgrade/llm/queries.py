@@ -6,11 +6,13 @@ from envgrade.llm.bpe import op2_bpe
 from envgrade.llm.packing import op8_packing
 from envgrade.llm.pii import op5_pii
 from envgrade.llm.sharding import op1_sharding
+from envgrade.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
     "op5_pii": op5_pii,
     "op8_packing": op8_packing,
+    "op9_toxicity": op9_toxicity,
 }
 ORACLE: dict[str, str] = {}
