@@ -7,12 +7,15 @@ from envgrade.llm.packing import op8_packing
 from envgrade.llm.pii import op5_pii
 from envgrade.llm.sharding import op1_sharding
 from envgrade.llm.toxicity import op9_toxicity
+from envgrade.llm.warc import ORACLE_SQL as WARC_SQL
+from envgrade.llm.warc import op7_warc
 
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
     "op5_pii": op5_pii,
+    "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_warc": WARC_SQL}
