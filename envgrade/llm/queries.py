@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from envgrade.llm.bpe import op2_bpe
+from envgrade.llm.mtree import ORACLE_SQL as TOP_K_SQL
+from envgrade.llm.mtree import op3_top_k
 from envgrade.llm.packing import op8_packing
 from envgrade.llm.pii import op5_pii
 from envgrade.llm.sharding import op1_sharding
@@ -13,9 +15,10 @@ from envgrade.llm.warc import op7_warc
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
+    "op3_top_k": op3_top_k,
     "op5_pii": op5_pii,
     "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
 }
-ORACLE: dict[str, str] = {"op7_warc": WARC_SQL}
+ORACLE: dict[str, str] = {"op3_top_k": TOP_K_SQL, "op7_warc": WARC_SQL}
