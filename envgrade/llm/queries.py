@@ -5,6 +5,7 @@ from __future__ import annotations
 from envgrade.llm.bpe import op2_bpe
 from envgrade.llm.mtree import ORACLE_SQL as TOP_K_SQL
 from envgrade.llm.mtree import op3_top_k
+from envgrade.llm.neardup import op6_neardup
 from envgrade.llm.packing import op8_packing
 from envgrade.llm.pii import op5_pii
 from envgrade.llm.sharding import op1_sharding
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_top_k": op3_top_k,
     "op5_pii": op5_pii,
+    "op6_neardup": op6_neardup,
     "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
