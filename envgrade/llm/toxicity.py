@@ -31,6 +31,8 @@ BUCKET_BITS = 20
 # Labelled rows learnt from, at most, by label.
 SAMPLE_ROWS = {0: 3000, 1: 1500}
 SEEN_IN = 4
+# Log-count ratios below this say little and are left out.
+LEAST_RATIO = 0.4
 ROUNDS = 50
 STEP = 0.1
 L1 = 3e-3
@@ -55,20 +57,23 @@ def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, f
     if share in (0.0, 1.0):
         p = min(max(share, 1e-3), 1 - 1e-3)
         return np.empty(0, np.int32), np.empty(0, np.float64), float(np.log(p / (1 - p)))
-    sets = [np.unique(np.concatenate([*ngrams(t), np.empty(0, np.uint32)])) for t in texts]
-    seen = np.bincount(np.concatenate(sets), minlength=1 << BUCKET_BITS)
-    used = np.flatnonzero(seen >= min(SEEN_IN, max(1, len(texts) // 20)))
+    def grams(text: str) -> np.ndarray:
+        return np.unique(np.concatenate([*ngrams(text), np.empty(0, np.uint32)]))
+
+    # Two passes over the texts, so that only n-grams that tell the classes apart are held.
+    n_toxic, n_clean = int(labels.sum()), int(len(labels) - labels.sum())
+    counts = np.zeros((2, 1 << BUCKET_BITS))
+    for text, label in zip(texts, labels.tolist()):
+        counts[label][grams(text)] += 1
+    ratio = np.log((counts[1] + 1) / (n_toxic + 1) / ((counts[0] + 1) / (n_clean + 1)))
+    seen = counts.sum(0) >= min(SEEN_IN, max(1, len(texts) // 20))
+    used = np.flatnonzero(seen & (np.abs(ratio) >= LEAST_RATIO))
     number = np.full(len(seen), -1, np.int32)
     number[used] = np.arange(len(used))
-    sets = [number[s][number[s] >= 0] for s in sets]
+    ratio = ratio[used]
+    sets = [g[g >= 0] for g in (number[grams(t)] for t in texts)]
     feature = np.concatenate(sets)
     row = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
-    toxic = labels[row] == 1
-    n_toxic, n_clean = labels.sum(), len(labels) - labels.sum()
-    ratio = np.log(
-        (np.bincount(feature[toxic], minlength=len(used)) + 1) / (n_toxic + 1)
-        / ((np.bincount(feature[~toxic], minlength=len(used)) + 1) / (n_clean + 1))
-    )
     value = ratio[feature].astype(np.float32)
     even = np.where(labels == 1, 0.5 / n_toxic, 0.5 / n_clean)
     weight, bias = np.zeros(len(used)), 0.0
