@@ -9,6 +9,7 @@ from envgrade.llm.neardup import op6_neardup
 from envgrade.llm.packing import op8_packing
 from envgrade.llm.pii import op5_pii
 from envgrade.llm.sharding import op1_sharding
+from envgrade.llm.suffixes import op4_suffix_dedup
 from envgrade.llm.toxicity import op9_toxicity
 from envgrade.llm.warc import ORACLE_SQL as WARC_SQL
 from envgrade.llm.warc import op7_warc
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
     "op3_top_k": op3_top_k,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_pii": op5_pii,
     "op6_neardup": op6_neardup,
     "op7_warc": op7_warc,
