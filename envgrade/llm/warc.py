@@ -7,8 +7,8 @@ least REVISIT_BYTES, the one with the largest page_id carries the payload; the o
 Reading takes each file whole (they are bounded) and walks its records. A record counts only if its header
 parses, its length fits, it ends as records end and its digests agree. After a failed check the reader goes to
 the next place where a version line starts and a record passes, and logs the bytes between as a gap. Files of
-gzip members, one per record, are read the same way: after a damaged member it looks for the next magic number
-from which a member unpacks.
+gzip members are read the same way: of a damaged member the sound beginning counts, and the reader looks for the
+next magic number from which a member unpacks.
 
 Rows: a null html is an empty payload; a null url gives a record without target; a null page_id is read back as
 null and never refers to another. Repeated rows each give a record; those that share the largest page_id of
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envgrade.llm.common import shared_path, table
+from envgrade.llm.common import cut, shared_path, table
 
 REVISIT_BYTES = 1000
 RECORDS_PER_FILE = 1000
@@ -50,14 +50,16 @@ def decide(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     ).withColumns(
         {"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha1("payload")}
     )
-    # One row per payload that repeats. It combines map-side; the join splits hot payloads at run time.
-    chosen = (
+    # One row per payload that repeats; it combines map-side. Written down, its size is known to the planner, which
+    # keeps the payloads where they are if it is small, and else joins by digest and splits hot payloads.
+    chosen = cut(
         rows.where(F.col("payload_bytes") >= REVISIT_BYTES)
         .groupBy("payload_digest").agg(F.max("page_id").alias("chosen"), F.count("*").alias("copies"))
-        .where("copies > 1").select("payload_digest", "chosen")
+        .where("copies > 1").select(F.unhex("payload_digest").alias("sha1"), "chosen"),
+        "payloads",
     )
     revisit = F.col("page_id") < F.col("chosen")
-    return rows.join(chosen, "payload_digest", "left").select(
+    return rows.join(chosen, F.unhex("payload_digest") == F.col("sha1"), "left").select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest",
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         F.when(revisit, F.col("chosen")).alias("refers_to"),
@@ -93,11 +95,12 @@ def records(decided: DataFrame) -> DataFrame:
     return decided.withColumn("block", block).select(F.concat(head, F.col("block")).alias("value"))
 
 
-def write_warc(pages: DataFrame, path: str) -> None:
-    """Write a folder of WARC files, at most RECORDS_PER_FILE records in each."""
+def write_warc(pages: DataFrame, path: str, compression: str = "none") -> None:
+    """Write a folder of WARC files, at most RECORDS_PER_FILE records in each; ``compression`` may be "gzip"."""
     # The text writer puts bytes down as they are, and ends every record as the format asks.
     text = records(decide(pages)).select(F.col("value").cast("string"))
-    text.write.option("lineSep", END.decode()).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    out = text.write.option("lineSep", END.decode()).option("maxRecordsPerFile", RECORDS_PER_FILE)
+    out.text(path, compression=compression)
 
 
 def _digest_fits(label: bytes | None, data: bytes) -> bool:
@@ -138,36 +141,29 @@ def read_record(data: bytes, at: int) -> tuple[dict[str, bytes], bytes, int]:
     return fields, block, stop + len(END)
 
 
-def _read_member(data: bytes, at: int) -> tuple[dict[str, bytes], bytes, int]:
-    """As `read_record`, for a gzip member that holds one record."""
+def _unpack(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What a gzip member holds, where it ends, and what is wrong with it; a damaged one gives its sound beginning."""
     unpack, parts, next_at = zlib.decompressobj(31), [], at
     try:
         while not unpack.eof and next_at < len(data):
             parts.append(unpack.decompress(data[next_at : next_at + CHUNK]))
             next_at = min(next_at + CHUNK, len(data))
     except zlib.error as wrong:
-        raise ValueError(f"gzip: {wrong}") from None
+        return b"".join(parts), at, f"gzip: {wrong}"
     if not unpack.eof:
-        raise ValueError("the gzip member does not end")
-    inner = b"".join(parts)
-    fields, block, end = read_record(inner, 0)
-    if end != len(inner):
-        raise ValueError("a gzip member holds more than a record")
-    return fields, block, next_at - len(unpack.unused_data)
+        return b"".join(parts), at, "the gzip member does not end"
+    return b"".join(parts), next_at - len(unpack.unused_data), ""
 
 
-def salvage(data: bytes) -> Iterator[tuple[str, int, int, object, object]]:
-    """What a file holds, in order: ("record", start, end, fields, block) or ("gap", start, end, reason, None)."""
-    packed = data.startswith(GZIP_MAGIC) or (b"WARC/1." not in data[:16] and GZIP_MAGIC in data[: 1 << 16])
-    read, mark = (_read_member, re.compile(re.escape(GZIP_MAGIC))) if packed else (read_record, ANY_VERSION)
+def _salvage_plain(data: bytes) -> Iterator[tuple[str, int, int, object, object]]:
     at, lost, reason = 0, None, ""
     while at < len(data):
         try:
-            fields, block, end = read(data, at)
+            fields, block, end = read_record(data, at)
         except ValueError as wrong:
             if lost is None:
                 lost, reason = at, str(wrong)
-            found = mark.search(data, at + 1)
+            found = ANY_VERSION.search(data, at + 1)
             at = found.start() if found else len(data)
             continue
         if lost is not None:
@@ -179,6 +175,37 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, object, object]]:
         yield "gap", lost, len(data), reason, None
 
 
+def salvage(data: bytes) -> Iterator[tuple[str, int, int, object, object]]:
+    """What a file holds, in order: ("record", start, end, fields, block) or ("gap", start, end, reason, None).
+
+    In a file of gzip members, records carry the bounds of their member, and so do gaps inside a member.
+    """
+    if not (data.startswith(GZIP_MAGIC) or (b"WARC/1." not in data[:16] and GZIP_MAGIC in data[:CHUNK])):
+        yield from _salvage_plain(data)
+        return
+    at, lost, reason = 0, None, ""
+    while at < len(data):
+        inner, end, wrong = _unpack(data, at) if data.startswith(GZIP_MAGIC, at) else (b"", at, "no gzip member")
+        if wrong:
+            # Records before the damage are whole; the rest is lost up to the next member.
+            sound = [x for x in _salvage_plain(inner) if x[0] == "record"]
+            if lost is None:
+                lost, reason = at, wrong
+            found = data.find(GZIP_MAGIC, at + 1)
+            end = found if found >= 0 else len(data)
+            for _, _, _, fields, block in sound:
+                yield "record", at, end, fields, block
+        else:
+            if lost is not None:
+                yield "gap", lost, at, reason, None
+                lost = None
+            for kind, _, _, what, block in _salvage_plain(inner):
+                yield kind, at, end, what, block
+        at = end
+    if lost is not None:
+        yield "gap", lost, len(data), reason, None
+
+
 RECORD_SCHEMA = (
     "file string, kind string, start long, stop long, reason string, record_type string, page_id long,"
     " refers_to long, target string, payload_bytes long, payload_digest string, payload binary"
