@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from envgrade.llm.bpe import op2_bpe
+from envgrade.llm.jaccard import op10_jaccard
 from envgrade.llm.mtree import ORACLE_SQL as TOP_K_SQL
 from envgrade.llm.mtree import op3_top_k
 from envgrade.llm.neardup import op6_neardup
@@ -24,5 +25,6 @@ QUERIES = {
     "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
+    "op10_jaccard": op10_jaccard,
 }
 ORACLE: dict[str, str] = {"op3_top_k": TOP_K_SQL, "op7_warc": WARC_SQL}
