@@ -410,5 +410,19 @@ def near_copies(
     )
 
 
+def first_of_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, whole, of which one stays from each group of near copies: the one with the smallest id.
+
+    Rows that repeat both id and text are one document.
+    """
+    kept = near_copies(docs, id_col=id_col, text_col=text_col).where("kept").select(
+        F.col("doc_id").alias("__id"), F.col("crc").alias("__crc")
+    )
+    own = F.crc32(content(text_col).cast("binary"))
+    keyed = docs.withColumns({"__own": F.col(id_col).cast("long"), "__sum": own})
+    joined = keyed.join(kept, F.expr("__own <=> __id and __sum = __crc"))
+    return joined.dropDuplicates(["__own", "__sum"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents")).drop("crc")

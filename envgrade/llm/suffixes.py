@@ -330,7 +330,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         for batch in _slices(batches, 512):
             out = []
             for row in batch.to_pylist():
-                spans = _removed(len(row["body"]), row["starts"], row["counts"])
+                spans = _removed(len(row["body"]), row["starts"] or [], row["counts"] or [])
                 out.append({
                     "ord": row["ord"], "n_bytes": len(row["body"]), "n_removed": int((spans[:, 1] - spans[:, 0]).sum()),
                     "n_spans": len(spans), "spans": spans.tolist(), "kept": _kept(row["body"], spans),
@@ -347,6 +347,33 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return out.select(own.alias("doc_id"), "n_bytes", "n_removed", "n_spans", "spans", "kept")
 
 
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the repeated bytes cut from their texts; a character cut in part goes whole."""
+    texts = _texts(docs, id_col, text_col)
+    names_, at = docs.columns, docs.columns.index(text_col)
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names_]).alias("doc"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("ord"),
+        F.crc32(content(text_col).cast("binary")).alias("crc"),
+    )
+    rows = _with_runs(keyed, texts).select(*[F.col("doc").getField(c).alias(c) for c in names_], "starts", "counts")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches, 512):
+            out = []
+            for text, starts, counts in zip(*(batch.column(i) for i in (at, len(names_), len(names_) + 1))):
+                text = text.as_py()
+                if text is not None and starts.is_valid:
+                    body = text.encode("utf-8", "replace")
+                    text = _kept(body, _removed(len(body), starts.as_py(), counts.as_py())).decode("utf-8", "ignore")
+                out.append(text)
+            columns = list(batch.columns[: len(names_)])
+            columns[at] = pa.array(out, batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(columns, names_)
+
+    return rows.mapInArrow(run, docs.schema)
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
