@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from envgrade.llm.bpe import Encoder, Vocabulary, WORD_PATTERN
 from envgrade.llm.common import content, table
 
-SENTENCE_PENALTY = 6
-TOKEN_PENALTY = 64
+SENTENCE_PENALTY = 4
+TOKEN_PENALTY = 32
 # Where sentences are longer than GAP tokens, a cut may also fall after every STEP tokens.
 GAP, STEP = 48, 16
 BLOCK_TOKENS = 1 << 18
@@ -58,7 +58,7 @@ class TokenStream:
         return np.array([t.rstrip(b" \"')")[-1:] in (b".", b"!", b"?", b"\n") for t in self.vocabulary.tokens])
 
 
-def candidates(ids: np.ndarray, doc_ends: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def candidates(ids: np.ndarray, doc_ends: np.ndarray, sentence: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions where a cut may fall, with 0 first, and the penalty of each."""
     penalty = np.full(len(ids) + 1, TOKEN_PENALTY)
     penalty[1:][sentence[ids]] = SENTENCE_PENALTY
@@ -66,15 +66,20 @@ def candidates(ids: np.ndarray, doc_ends: np.ndarray, sentence: np.ndarray) -> t
     penalty[0] = 0
     natural = np.flatnonzero(penalty < TOKEN_PENALTY)
     gap = np.diff(natural)
-    extra = np.where(gap > GAP, (gap - 1) // STEP, 0)
+    step = min(STEP, size)
+    extra = np.where(gap > min(GAP, size), (gap - 1) // step, 0)
     nth = np.arange(extra.sum()) - np.repeat(np.cumsum(extra) - extra, extra)
-    between = np.repeat(natural[:-1], extra) + (nth + 1) * STEP
+    between = np.repeat(natural[:-1], extra) + (nth + 1) * step
     at = np.sort(np.concatenate([natural, between]))
     return at, penalty[at]
 
 
-def best_cuts(at: list[int], penalty: list[int], size: int) -> list[int]:
-    """Positions of the cuts of the cheapest packing that ends at the last candidate."""
+def best_cuts(at: list[int], penalty: list[int], size: int, more: bool = False) -> list[int]:
+    """Positions of the cuts of the cheapest packing that ends at the last candidate.
+
+    If ``more`` of the stream follows, it ends at the cheapest candidate within ``size`` of the last one, as the end
+    of what is known so far is no reason to pad.
+    """
     key, back, queue, head = [0] * len(at), [0] * len(at), [], 0
     key[0] = at[0]
     for j in range(1, len(at)):
@@ -88,7 +93,11 @@ def best_cuts(at: list[int], penalty: list[int], size: int) -> list[int]:
         back[j] = i
         # key is best + x, and best[j] = key[i] + size - x + penalty.
         key[j] = key[i] + size + penalty[j]
-    cuts, j = [], len(at) - 1
+    j = len(at) - 1
+    if more:
+        near = [i for i in range(j, 0, -1) if at[i] > at[j] - size]
+        j = min(near, key=lambda i: key[i] - at[i])
+    cuts = []
     while j > 0:
         cuts.append(at[j])
         j = back[j]
@@ -122,8 +131,8 @@ class Packer:
         left = np.array([len(ids) - given for _, ids, given in self.docs])
         stream = np.concatenate([ids[given:] for _, ids, given in self.docs])
         ends = np.cumsum(left)
-        at, penalty = candidates(stream, ends, self.sentence)
-        cuts = best_cuts(at.tolist(), penalty.tolist(), self.size)
+        at, penalty = candidates(stream, ends, self.sentence, self.size)
+        cuts = best_cuts(at.tolist(), penalty.tolist(), self.size, more=not last)
         if last:
             begin = cuts[-2] if len(cuts) > 1 else 0
             cuts[-1:] = (begin + np.cumsum(split_rest(len(stream) - begin, self.size))).tolist()
