@@ -356,19 +356,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("ord"),
         F.crc32(content(text_col).cast("binary")).alias("crc"),
     )
-    rows = _with_runs(keyed, texts).select(*[F.col("doc").getField(c).alias(c) for c in names_], "starts", "counts")
+    rows = _with_runs(keyed, texts).select("doc", "starts", "counts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, 512):
             out = []
-            for text, starts, counts in zip(*(batch.column(i) for i in (at, len(names_), len(names_) + 1))):
+            columns = batch.column(0).flatten()
+            for text, starts, counts in zip(columns[at], batch.column(1), batch.column(2)):
                 text = text.as_py()
                 if text is not None and starts.is_valid:
                     body = text.encode("utf-8", "replace")
                     text = _kept(body, _removed(len(body), starts.as_py(), counts.as_py())).decode("utf-8", "ignore")
                 out.append(text)
-            columns = list(batch.columns[: len(names_)])
-            columns[at] = pa.array(out, batch.schema.field(at).type)
+            columns[at] = pa.array(out, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names_)
 
     return rows.mapInArrow(run, docs.schema)
