@@ -39,6 +39,9 @@ LEAF = 128
 TILE = 1024
 BINS = 64
 STRIP = 128
+STRIP_NAMES = 1 << 20
+# Buckets of up to so many classes are compared many at a time.
+SMALL = 64
 KNOWN_WORDS = 500_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -81,7 +84,7 @@ class Shingler:
         count = len(words) - size + 1
         out = h[:count]
         for i in range(1, size):
-            out = mixed(out + np.uint64(i)) + h[i : i + count]
+            out = out * _MIX + h[i : i + count]
         return np.unique(mixed(out))
 
 
@@ -98,20 +101,22 @@ def paths(shingles: np.ndarray, runs: int) -> tuple[np.ndarray, np.ndarray]:
     """Nodes of all runs and depths, and the index of each node's parent (-1 at depth 1)."""
     limit = np.uint64(int(min(FOLLOW / len(shingles), 1.0) * (2**64 - 2048)))
     node = mixed(np.arange(1, runs + 1, dtype=np.uint64) * _MIX)
-    parent = np.full(runs, -1)
-    nodes, parents, base = [], [], 0
+    nodes, parents, known = [], [], 0
     for depth in range(DEPTH):
+        # Names are uniform, so a product with an odd number that the node gives is hash enough. In strips, as a
+        # long text has many names.
         found, owner = [], []
-        for i, v in enumerate(node.tolist()):
-            h = mixed(shingles ^ np.uint64(v))
-            chosen = h[h <= limit]
-            found.append(mixed(chosen + np.uint64(v)))
-            owner.append(np.full(len(chosen), i if depth == 0 else base + i))
-        node = np.concatenate(found) if found else np.empty(0, np.uint64)
-        parent = np.full(len(node), -1) if depth == 0 else np.concatenate(owner) if owner else np.empty(0, np.int64)
-        base = sum(map(len, nodes))
+        step = max(1, STRIP_NAMES // len(shingles))
+        for at in range(0, len(node), step):
+            odd = node[at : at + step, None] | np.uint64(1)
+            i, j = np.nonzero(shingles * odd <= limit)
+            found.append(mixed(node[at + i] + shingles[j]))
+            owner.append(i + at)
+        last, node = known - len(node), np.concatenate([*found, np.empty(0, np.uint64)])
+        owner = np.concatenate([*owner, np.empty(0, np.int64)])
         nodes.append(node)
-        parents.append(parent)
+        parents.append(np.full(len(node), -1) if depth == 0 else owner + last)
+        known += len(node)
     return np.concatenate(nodes).view(np.int64), np.concatenate(parents)
 
 
@@ -121,20 +126,45 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordB
             yield batch.slice(at, rows)
 
 
-def _likely(size_a, size_b, sketch_a, sketch_b, threshold: float) -> np.ndarray:
-    """Pairs of two strips that their sizes and sketches do not rule out (by five standard deviations)."""
-    ok = np.minimum(size_a[:, None], size_b) >= threshold * np.maximum(size_a[:, None], size_b)
-    if not ok.any():
-        return ok
-    i, j = np.nonzero(ok)
+def _alike(i, j, sketch_a: np.ndarray, sketch_b: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the pairs (i, j) their sketches do not rule out (by five standard deviations)."""
+    ok = np.ones(len(i), bool)
     for part in np.array_split(np.arange(len(i)), max(1, len(i) // 100_000)):
         a, b = sketch_a[i[part]], sketch_b[j[part]]
         equal = ((a == b) & (a > 0)).sum(1)
         used = ((a > 0) | (b > 0)).sum(1)
-        ok[i[part], j[part]] = equal >= used * threshold - 5 * np.sqrt(used * threshold * (1 - threshold)) - 1
+        ok[part] = equal >= used * threshold - 5 * np.sqrt(used * threshold * (1 - threshold)) - 1
+    return ok
+
+
+def _likely(size_a, size_b, sketch_a, sketch_b, threshold: float) -> np.ndarray:
+    """Matrix of the pairs of two strips that their sizes and sketches do not rule out."""
+    ok = np.minimum(size_a[:, None], size_b) >= threshold * np.maximum(size_a[:, None], size_b)
+    i, j = np.nonzero(ok)
+    ok[i, j] = _alike(i, j, sketch_a, sketch_b, threshold)
     return ok
 
 
+def small_pairs(rows: pa.Table, first: np.ndarray, count: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """`likely_pairs` of many small buckets, that start at ``first`` and have ``count`` rows, as rows of the table."""
+    size, sketches = np.asarray(rows["size"]), _sketches(rows)
+    left, right = [], []
+    for n in np.unique(count).tolist():
+        i, j = np.triu_indices(n, 1)
+        start = first[count == n]
+        left.append((start[:, None] + i).ravel())
+        right.append((start[:, None] + j).ravel())
+    i, j = np.concatenate([*left, np.empty(0, np.int64)]), np.concatenate([*right, np.empty(0, np.int64)])
+    near = np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j])
+    i, j = i[near], j[near]
+    alike = _alike(i, j, sketches, sketches, threshold)
+    i, j = i[alike], j[alike]
+    buckets_, ends = np.asarray(rows["bucket"])[i], rows["ends"]
+    known = {r: set(ends[r].as_py()) for r in np.unique(np.concatenate([i, j])).tolist()}
+    mine = [min(known[p] & known[q]) == b for p, q, b in zip(i.tolist(), j.tolist(), buckets_.tolist())]
+    return i[np.array(mine, bool)], j[np.array(mine, bool)]
+
+
 def _shared_before(bucket: int, ends_a: list, ends_b: list) -> tuple[np.ndarray, np.ndarray] | None:
     """Membership of either side in buckets smaller than this one that occur on both sides."""
     flat_a = np.array([e for ends in ends_a for e in ends if e < bucket], np.int64)
@@ -170,15 +200,17 @@ def likely_pairs(bucket: int, same: bool, a: dict, b: dict, threshold: float) ->
             yield i, j
 
 
-def overlaps(sets_a: list[np.ndarray], sets_b: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of the pairs (i, j)."""
+def overlaps(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the pairs (i, j) of sets."""
     rows, i_at = np.unique(i, return_inverse=True)
     columns, j_at = np.unique(j, return_inverse=True)
     if len(i) * 8 < len(rows) * len(columns) or len(i) < 64:
-        return np.array([len(np.intersect1d(sets_a[p], sets_b[q], assume_unique=True)) for p, q in zip(i, j)])
-    flat_a, flat_b = np.concatenate([sets_a[r] for r in rows]), np.concatenate([sets_b[c] for c in columns])
-    row = np.repeat(np.arange(len(rows)), [len(sets_a[r]) for r in rows])
-    column = np.repeat(np.arange(len(columns)), [len(sets_b[c]) for c in columns])
+        return np.array(
+            [len(np.intersect1d(sets[p], sets[q], assume_unique=True)) for p, q in zip(i, j)], np.int64
+        )
+    flat_a, flat_b = np.concatenate([sets[r] for r in rows]), np.concatenate([sets[c] for c in columns])
+    row = np.repeat(np.arange(len(rows)), [len(sets[r]) for r in rows])
+    column = np.repeat(np.arange(len(columns)), [len(sets[c]) for c in columns])
     shared = np.intersect1d(flat_a, flat_b)
     total = np.zeros((len(rows), len(columns)), np.float32)
     at_a, at_b = np.searchsorted(shared, flat_a), np.searchsorted(shared, flat_b)
@@ -196,43 +228,52 @@ def overlaps(sets_a: list[np.ndarray], sets_b: list[np.ndarray], i: np.ndarray,
     return total[i_at, j_at].astype(np.int64)
 
 
+def _sketches(rows: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(-1, BINS)
+
+
 def _side(rows: pa.Table) -> dict:
     return {
-        "class": np.asarray(rows["class"]), "size": np.asarray(rows["size"]),
-        "sketch": np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(-1, BINS),
+        "class": np.asarray(rows["class"]), "size": np.asarray(rows["size"]), "sketch": _sketches(rows),
         "ends": rows["ends"].to_pylist(),
     }
 
 
-def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, pa.Table, pa.Table]]:
-    """Whole tile pairs of rows that arrive by (bucket, a, b): bucket, whether a = b, and the rows of either tile."""
+def _whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows that arrive by (bucket, a, b), in tables that hold whole tile pairs."""
     held: list[pa.RecordBatch] = []
-
-    def parts(whole: pa.Table):
-        key = np.stack([np.asarray(whole[c]) for c in ("bucket", "a", "b")], 1)
-        first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)])
-        tile = np.asarray(whole["tile"])
-        for lo, hi in zip(first, np.r_[first[1:], len(key)]):
-            bucket, a, b = key[lo].tolist()
-            left = np.flatnonzero(tile[lo:hi] == a) + lo
-            right = left if a == b else np.flatnonzero(tile[lo:hi] == b) + lo
-            if len(left) and len(right) and not (a == b and len(left) < 2):
-                yield bucket, a == b, whole.take(pa.array(left)), whole.take(pa.array(right))
-
     for batch in batches:
         if not len(batch):
             continue
         key = np.stack([np.asarray(batch[c]) for c in ("bucket", "a", "b")], 1)
         whole = np.flatnonzero((key != key[-1]).any(1))
         cut_at = int(whole[-1]) + 1 if len(whole) else 0
-        if held and (cut_at or any(held[-1][c][-1].as_py() != batch[c][0].as_py() for c in ("bucket", "a", "b"))):
-            yield from parts(pa.Table.from_batches([*held, batch.slice(0, cut_at)]))
+        new = bool(held) and any(held[-1][c][-1].as_py() != batch[c][0].as_py() for c in ("bucket", "a", "b"))
+        if cut_at or new:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut_at)])
             held = []
-        elif cut_at:
-            yield from parts(pa.Table.from_batches([batch.slice(0, cut_at)]))
         held.append(batch.slice(cut_at))
     if held:
-        yield from parts(pa.Table.from_batches(held))
+        yield pa.Table.from_batches(held)
+
+
+def _parts(rows: pa.Table):
+    """Of a table of whole tile pairs: starts and sizes of the small buckets, and of the other tile pairs the
+    bucket, whether its tiles are one, and the rows of either tile."""
+    if not rows.num_rows:
+        return np.empty(0, np.int64), np.empty(0, np.int64), []
+    key = np.stack([np.asarray(rows[c]) for c in ("bucket", "a", "b")], 1)
+    first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)])
+    count = np.diff(np.r_[first, len(key)])
+    small = (count <= SMALL) & (key[first, 1] == key[first, 2])
+    tile, large = np.asarray(rows["tile"]), []
+    for lo, n in zip(first[~small].tolist(), count[~small].tolist()):
+        bucket, a, b = key[lo].tolist()
+        left = np.flatnonzero(tile[lo : lo + n] == a) + lo
+        right = left if a == b else np.flatnonzero(tile[lo : lo + n] == b) + lo
+        if len(left) and len(right):
+            large.append((bucket, a == b, left, right))
+    return first[small], count[small], large
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -314,16 +355,18 @@ def linked_classes(texts: DataFrame, classes: DataFrame, threshold: float) -> Da
     release(spark)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, same, left, right in _tiles(batches):
-            a = _side(left)
-            b = a if same else _side(right)
-            hit_a, hit_b = np.zeros(len(a["size"]), bool), np.zeros(len(b["size"]), bool)
-            for i, j in likely_pairs(bucket, same, a, b, threshold):
-                hit_a[i] = True
-                hit_b[j] = True
-            kept = [left.filter(pa.array(hit_a | hit_b))] if same else [left.filter(pa.array(hit_a)), right.filter(pa.array(hit_b))]
-            for part in kept:
-                yield from part.to_batches()
+        for rows_ in _whole_tiles(batches):
+            first, count, large = _parts(rows_)
+            hit = np.zeros(rows_.num_rows, bool)
+            for pair in small_pairs(rows_, first, count, threshold):
+                hit[pair] = True
+            for bucket, same, left, right in large:
+                a = _side(rows_.take(pa.array(left)))
+                b = a if same else _side(rows_.take(pa.array(right)))
+                for i, j in likely_pairs(bucket, same, a, b, threshold):
+                    hit[left[i]] = True
+                    hit[right[j]] = True
+            yield from rows_.filter(pa.array(hit)).combine_chunks().to_batches()
 
     rows = _by_tiles(_tile_rows(classes, ends)).mapInArrow(find, ROW)
     rows = cut(rows, "likely")
@@ -345,24 +388,26 @@ def linked_classes(texts: DataFrame, classes: DataFrame, threshold: float) -> Da
     sets = cut(at.mapInArrow(fetch, "class long, shingles binary"), "sets").dropDuplicates(["class"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, same, left, right in _tiles(batches):
-            a = _side(left)
-            b = a if same else _side(right)
-            sets_a, sets_b = (
-                [np.frombuffer(x, np.uint64) for x in rows_["shingles"].to_pylist()] for rows_ in (left, right)
-            )
-            copies_a, copies_b = np.asarray(left["copies"]), np.asarray(right["copies"])
-            shift = 0 if same else len(sets_a)
-            label = np.arange(shift + len(sets_b))
-            links = np.zeros(len(label), np.int64)
-            for i, j in likely_pairs(bucket, same, a, b, threshold):
-                both = overlaps(sets_a, sets_b, i, j)
-                hit = both >= threshold * (a["size"][i] + b["size"][j] - both) - 1e-9
+        for rows_ in _whole_tiles(batches):
+            first, count, large = _parts(rows_)
+            ids, size, copies = (np.asarray(rows_[c]) for c in ("class", "size", "copies"))
+            sets = [np.frombuffer(x, np.uint64) for x in rows_["shingles"].to_pylist()]
+            label, links = np.arange(len(ids)), np.zeros(len(ids), np.int64)
+
+            def settle(i: np.ndarray, j: np.ndarray) -> None:
+                both = overlaps(sets, i, j)
+                hit = both >= threshold * (size[i] + size[j] - both) - 1e-9
                 i, j = i[hit], j[hit]
-                np.add.at(links, i, copies_b[j])
-                np.add.at(links, j + shift, copies_a[i])
-                union(label, i, j + shift)
-            ids = a["class"] if same else np.concatenate([a["class"], b["class"]])
+                np.add.at(links, i, copies[j])
+                np.add.at(links, j, copies[i])
+                union(label, i, j)
+
+            settle(*small_pairs(rows_, first, count, threshold))
+            for bucket, same, left, right in large:
+                a = _side(rows_.take(pa.array(left)))
+                b = a if same else _side(rows_.take(pa.array(right)))
+                for i, j in likely_pairs(bucket, same, a, b, threshold):
+                    settle(left[i], right[j])
             out = np.flatnonzero(links)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[out]), pa.array(links[out]), pa.array(ids[label[out]])], ["class", "links", "root"]
