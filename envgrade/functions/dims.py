@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envgrade.config import Settings
-from envgrade.session import broadcast_if_bounded
 
 
 def literal_table(spark: SparkSession, columns: Sequence[str], rows: Iterable[Sequence]) -> DataFrame:
@@ -18,8 +17,7 @@ def literal_table(spark: SparkSession, columns: Sequence[str], rows: Iterable[Se
 
 def _monthly(spark: SparkSession, table, column: str, cfg: Settings) -> DataFrame:
     rows = [(r, m, float(v)) for r, months in table.items() for m, v in enumerate(months, 1)]
-    df = literal_table(spark, ["region", "month", column], rows)
-    return broadcast_if_bounded(df, len(rows), cfg.broadcast_max_rows)
+    return literal_table(spark, ["region", "month", column], rows)
 
 
 def monthly_normals(spark: SparkSession, cfg: Settings) -> DataFrame:
@@ -28,18 +26,3 @@ def monthly_normals(spark: SparkSession, cfg: Settings) -> DataFrame:
 
 def vegetation_reference(spark: SparkSession, cfg: Settings) -> DataFrame:
     return _monthly(spark, cfg.vegetation_reference, "vegetation_index", cfg)
-
-
-def region_dim(spark: SparkSession, cfg: Settings) -> DataFrame:
-    df = literal_table(spark, ["region"], [(r,) for r in cfg.regions])
-    return broadcast_if_bounded(df, len(cfg.regions), cfg.broadcast_max_rows)
-
-
-def city_dim(spark: SparkSession, cfg: Settings) -> DataFrame:
-    rows = [(r, c.name, c.latitude, c.longitude) for r, cs in cfg.cities.items() for c in cs]
-    df = literal_table(spark, ["region", "city", "latitude", "longitude"], rows)
-    return broadcast_if_bounded(df, len(rows), cfg.broadcast_max_rows)
-
-
-def value_set(spark: SparkSession, column: str, values: Sequence[str]) -> DataFrame:
-    return F.broadcast(literal_table(spark, [column], [(v,) for v in values]))

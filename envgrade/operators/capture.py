@@ -282,9 +282,19 @@ def instrument_drift(a: DataFrame, b: DataFrame, key: str = "sensor_id") -> Data
     )
 
 
-def admission_version_mismatch(version_a: str, version_b: str) -> bool:
-    """A different admitted population, which is not drift."""
-    return version_a != version_b
+def drift_by_location(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Locations of both captures whose sensors differ, with the sensors of either side only.
+
+    Captures of different admission versions hold different populations by intent, so
+    only locations that both hold are compared.
+    """
+    keys = ["location_id", "sensor_id"]
+    left, right = a.select(*keys).distinct(), b.select(*keys).distinct()
+    sides = left.exceptAll(right).withColumn("only_in", F.lit("first")).unionByName(
+        right.exceptAll(left).withColumn("only_in", F.lit("second"))
+    )
+    both = left.select("location_id").intersect(right.select("location_id"))
+    return sides.join(both, "location_id", "left_semi")
 
 
 def revision_check(a: DataFrame, b: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -312,6 +322,11 @@ def call_status_summary(calls: DataFrame) -> DataFrame:
     )
 
 
+def calls_by_status(calls: DataFrame) -> DataFrame:
+    """Calls per city and status code; domain probes are left out here too."""
+    return calls.where(~F.col("domain_probe")).groupBy("city", "status").agg(F.count(F.lit(1)).alias("calls"))
+
+
 def station_population(stations: DataFrame, off_hour: DataFrame | None = None) -> DataFrame:
     """Per city: distinct stations and hours, rows, exact median, range, off-hour rows."""
     base = stations.groupBy("city").agg(

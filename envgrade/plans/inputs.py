@@ -16,7 +16,7 @@ from envgrade import schemas as S
 from envgrade.config import CITIES, REGIONS, Settings, WindowSpan
 from envgrade.functions.dims import literal_table
 from envgrade.operators.capture import station_hour_gate
-from envgrade.session import land, spread_if_narrow
+from envgrade.session import land
 from envgrade.sources.envelopes import wrap_envelopes
 from envgrade.sources.pages import explode_station_hours
 
@@ -30,6 +30,9 @@ def utc(year: int, month: int, day: int) -> datetime:
 FIRST_HALF = WindowSpan(utc(2024, 1, 1), utc(2024, 1, 16))
 SECOND_HALF = WindowSpan(utc(2024, 1, 16), utc(2024, 1, 31))
 WHOLE_MONTH = WindowSpan(utc(2024, 1, 1), utc(2024, 1, 31))
+# Bounds of spans that the month's events come in, in order of time.
+_EDGES = [utc(2024, 1, day) for day in (1, 8, 16, 23, 31)]
+QUARTERS = list(zip(_EDGES, _EDGES[1:]))
 SENSOR_WINDOW = WindowSpan(utc(1997, 3, 1), utc(1997, 5, 1))
 
 
@@ -131,9 +134,17 @@ def satellites(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- messages with seeded faults -------------------------------------------------
 
 
+def _spoilt(n: int, pattern: str, replacement: str):
+    """A function over the text, so that what comes before it is evaluated once."""
+    return lambda x: F.when(F.col("event_id") % n == 0, F.regexp_replace(x, pattern, replacement)).otherwise(x)
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages_of(table(spark, sf_dir, "events"))
+
+
+def messages_of(source: DataFrame) -> DataFrame:
     """One envelope per event; some are spoilt, by event number, in ten ways."""
-    source = spread_if_narrow(table(spark, sf_dir, "events"))
     wrapped = wrap_envelopes(to_events(source, keep=("event_id",)), keep=("event_id",))
     # Fault by event number, pattern and replacement, in this order.
     faults = (
@@ -150,8 +161,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     text = F.col("value")
     for n, pattern, replacement in faults:
-        wanted = F.when(F.col("event_id") % n == 0, pattern).otherwise("(?!)")
-        text = F.regexp_replace(text, wanted, F.lit(replacement))
+        text = F.transform(F.array(text), _spoilt(n, pattern, replacement))[0]
     return wrapped.select("event_id", "key", text.alias("value"))
 
 
@@ -160,7 +170,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hour_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One provider page of one hour entry per event, some of them unusable."""
-    base = _base(spread_if_narrow(table(spark, sf_dir, "events")))
+    base = _base(table(spark, sf_dir, "events"))
 
     def every(n: int) -> Column:
         return F.col("event_id") % n == 0

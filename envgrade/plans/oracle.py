@@ -240,6 +240,10 @@ def sql(ctes: str | list[str], body: str) -> str:
 
 I360 = [BASE, _index(W)]
 CW = [BASE, _cw(W)]
+# The same from accepted messages only.
+BASE_OK = BASE.replace("st AS (", MESSAGES.strip() + ",\nst AS (", 1).replace("FROM ev WHERE kind", "FROM ok WHERE kind")
+OK360 = [BASE_OK, _index(W, "ok")]
+OK_ALL = [BASE_OK, _index(W, "ok"), _cw(W), _done()]
 ALL = [BASE, _index(W), _cw(W), _done()]
 GRID = [PLACES, RADIUS]
 
@@ -311,8 +315,9 @@ ORACLE: dict[str, str] = {
     "s_06_read_capture": sql(BASE, """SELECT ts, region, city, station_id, round(pm, 10) AS value, construction FROM st WHERE ts < TIMESTAMP '2024-01-16'
         UNION ALL SELECT ts, region, city, NULL, round(pm, 10), NULL FROM sat WHERE ts < TIMESTAMP '2024-01-16'"""),
     "s_07_read_admission": sql(PLACES, f"SELECT '2024-03-01' AS version, city, region, {DOMAIN} AS domain, location_id, CAST(location_id AS VARCHAR) AS station_id FROM cust WHERE location_id % 3 <> 0"),
-    "s_08_union_sources": sql(BASE, """SELECT 'stations' AS source, city, count(*) AS n, count(*) AS station_values, CAST(0 AS BIGINT) AS model_values FROM st GROUP BY 2
-        UNION ALL SELECT 'models', city, count(*), 0, count(*) FROM sat GROUP BY 2"""),
+    "s_08_union_sources": sql(BASE, """SELECT 'stations' AS source, city, count(*) AS n, count(*) AS station_values, CAST(0 AS BIGINT) AS model_values, CAST(NULL AS VARCHAR) AS fault FROM st GROUP BY 2
+        UNION ALL SELECT 'models', city, count(*), 0, count(*), NULL FROM sat GROUP BY 2
+        UNION ALL SELECT 'absent', NULL, 0, NULL, NULL, 'AnalysisException'"""),
     "s_09_wrap_envelopes": sql(BASE, """SELECT event_id, region AS key, kind AS event_type,
         strftime(CASE WHEN kind = 'station' THEN date_trunc('hour', ts) ELSE ts END, '%Y-%m-%dT%H:%M:%S.%fZ') AS ts_text,
         round(CASE kind WHEN 'weather' THEN value / 10e0 WHEN 'satellite' THEN value ELSE value - 5e0 END, 10) AS main_value,
@@ -326,6 +331,7 @@ ORACLE: dict[str, str] = {
     "k_03_fan_out": sql(I360, """SELECT copy, region, count(*) AS n, round(avg(impact_index), 10) AS mean_index
         FROM rec, (VALUES ('durable'), ('serving')) c(copy) GROUP BY 1, 2"""),
     "k_04_current_records": sql(I360, f"SELECT {PLAIN}, CAST(2 AS BIGINT) AS batch_id FROM rec"),
+    "k_04_compact_records": sql(I360, f"SELECT {PLAIN}, CAST(2 AS BIGINT) AS batch_id FROM rec"),
     "k_05_region_series": sql(I360, f"SELECT {PLAIN} FROM rec WHERE region = 'NAM'"),
     "k_06_legacy_states": sql(I360, "SELECT " + PLAIN.replace("round(model_pm25_ugm3, 10) AS", "CAST(NULL AS DOUBLE) AS") + ", CAST(0 AS BIGINT) AS details FROM rec"),
     "k_07_write_quarantine": sql([BASE, MESSAGES], "SELECT claimed_type AS event_type, reason_code, count(*) AS n, count(*) AS with_raw FROM msg WHERE reason_code IS NOT NULL GROUP BY 1, 2"),
@@ -397,13 +403,12 @@ ORACLE: dict[str, str] = {
     ),
     "j_07_resolve_sensors": sql(PLACES, "SELECT location_id, city, kind, CASE WHEN kind = 'resolved' THEN only_id END AS pm25_sensor_id, candidates, covering, identity_fault FROM resolved"),
     "j_08_stations_in_radius": sql(GRID, "SELECT location_id, city, radius_m, round(dist, 3) AS distance_m FROM inr"),
-    "j_09_cities_without_rows": sql([BASE, HOURS], f""", seen AS (SELECT city, region, CASE WHEN region = 'ASI' AND reason = 'retained' THEN 'period_not_hour_aligned' ELSE reason END AS reason
-          FROM gh WHERE region <> 'EUR')
+    "j_09_cities_without_rows": sql([BASE, HOURS], f""", seen AS (SELECT city, reason FROM gh WHERE station_id IN (SELECT station_id FROM st))
         SELECT c.city, CASE WHEN count(s.city) > 0 THEN 'off_hour_periods' ELSE 'nothing_served' END AS cause, count(s.city) AS off_hour_rows
         FROM (SELECT DISTINCT {CITY_EXPR.format(ci='(c_custkey % 12)')} AS city FROM customer) c
         LEFT JOIN (SELECT city FROM seen WHERE reason LIKE 'period_%') s ON s.city = c.city
         WHERE c.city NOT IN (SELECT city FROM seen WHERE reason = 'retained') GROUP BY 1""").replace("\n, seen", ", seen"),
-    "j_10_instrument_drift": sql([BASE, HOURS], """, a AS (SELECT DISTINCT station_id FROM kept WHERE day(starts) <= 2), b AS (SELECT DISTINCT station_id FROM kept WHERE day(starts) >= 29)
+    "j_10_instrument_drift": sql([BASE, HOURS], """, a AS (SELECT DISTINCT station_id FROM kept WHERE day(starts) < 16), b AS (SELECT DISTINCT station_id FROM kept WHERE day(starts) >= 16)
         SELECT station_id, 'first' AS only_in FROM (FROM a EXCEPT FROM b) UNION ALL SELECT station_id, 'second' FROM (FROM b EXCEPT FROM a)""").replace("\n, a AS", ", a AS"),
     "j_11_revision_check": sql([BASE, HOURLY], "SELECT city, hn % 9 = 0 AS revised, count(*) AS n FROM hv GROUP BY 1, 2"),
     # index
@@ -464,11 +469,13 @@ ORACLE: dict[str, str] = {
     "a_29_call_status_summary": sql(BASE, """SELECT city, count(*) AS calls, count(*) FILTER (s = 200) AS ok_calls, count(*) FILTER (s = 429) AS rate_limited,
         count(*) FILTER (s = 500) AS other_failures, bool_or(s <> 200) AS void
         FROM (SELECT city, CASE WHEN event_id % 2111 = 0 THEN 429 WHEN event_id % 1999 = 0 THEN 500 ELSE 200 END AS s FROM base WHERE action <> 'signup') GROUP BY 1"""),
+    "a_29_calls_by_status": sql(BASE, """SELECT city, CAST(CASE WHEN event_id % 2111 = 0 THEN 429 WHEN event_id % 1999 = 0 THEN 500 ELSE 200 END AS BIGINT) AS status,
+        count(*) AS calls FROM base WHERE action <> 'signup' GROUP BY 1, 2"""),
     "a_30_admission_funnel": sql(GRID, """SELECT city, count(*) AS in_radius, count(*) FILTER (fixed) AS fixed, count(*) FILTER (graded) AS reference_grade,
         count(*) FILTER (measured) AS with_pm25_sensor, count(*) FILTER (admitted) AS admitted FROM judged GROUP BY 1"""),
     "a_30_admitted_locations": sql(GRID, "SELECT region, city, location_id, CAST(location_id AS VARCHAR) AS station_id FROM judged WHERE admitted"),
     "a_31_monthly_normals": f"""WITH c AS (SELECT {_place('(o_custkey % 12)')}, month(o_orderdate) AS month, avg(o_totalprice / 10000e0) AS v FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY 1, 2, 3)
-        SELECT region, CAST(month AS BIGINT) AS month, round(avg(v), 10) AS normal_exact, count(*) AS cities FROM c GROUP BY 1, 2""",
+        SELECT region, CAST(month AS BIGINT) AS month, round(avg(v), 10) AS normal_exact, round_even(avg(v), 1) AS normal, count(*) AS cities FROM c GROUP BY 1, 2""",
     "a_32_station_population": sql([BASE, HOURS], """SELECT city, count(*) FILTER (reason = 'retained') AS n_rows, count(DISTINCT station_id) FILTER (reason = 'retained') AS stations,
         count(DISTINCT date_trunc('hour', starts)) FILTER (reason = 'retained') AS hours, round(min(v) FILTER (reason = 'retained'), 10) AS min_value,
         round(max(v) FILTER (reason = 'retained'), 10) AS max_value, round(median(v) FILTER (reason = 'retained'), 10) AS median_value,
@@ -513,8 +520,8 @@ ORACLE: dict[str, str] = {
     "l_05_cities_in_order": sql(CW, "SELECT region, window_start, names AS cities FROM roll"),
     "u_01_union_streams": sql(BASE, "SELECT kind AS event_type, region, count(*) AS n FROM ev GROUP BY 1, 2"),
     "u_02_union_of_cities": sql(BASE, "SELECT region, city FROM st UNION SELECT region, city FROM sat"),
-    "u_03_sensor_difference": sql(BASE, """, a AS (SELECT DISTINCT station_id FROM st WHERE ts < TIMESTAMP '2024-01-16' AND hour(ts) < 6),
-        b AS (SELECT DISTINCT station_id FROM st WHERE ts >= TIMESTAMP '2024-01-16' AND hour(ts) >= 18)
+    "u_03_sensor_difference": sql(BASE, """, a AS (SELECT DISTINCT station_id FROM st WHERE ts < TIMESTAMP '2024-01-16'),
+        b AS (SELECT DISTINCT station_id FROM st WHERE ts >= TIMESTAMP '2024-01-16')
         SELECT station_id, 'first' AS only_in FROM (FROM a EXCEPT FROM b) UNION ALL SELECT station_id, 'second' FROM (FROM b EXCEPT FROM a)""").replace("\n, a AS", ", a AS"),
     "u_04_cities_left_over": sql(BASE, "SELECT DISTINCT city FROM base EXCEPT SELECT city FROM st"),
     # scalar functions
@@ -532,14 +539,17 @@ ORACLE: dict[str, str] = {
         '{"confidence":"' || confidence || '","region":"' || region || '","start":"' || strftime(window_start, '%Y-%m-%d %H:%M:%S') || '"}' AS json FROM rec"""),
     # streaming, against the batch definition
     "t_01_stream_windows": sql(I360, "SELECT region, window_start, window_end, n_weather, n_satellite FROM rec"),
-    "t_02_stream_index": sql(I360, f"SELECT {PLAIN} FROM rec"),
-    "t_03_commit_after_write": sql(I360, f"SELECT {PLAIN} FROM rec"),
-    "t_04_late_rows": "SELECT count(*) AS input_rows, CAST(0 AS BIGINT) AS late_rows FROM events",
+    "t_02_stream_index": sql(OK360, f"SELECT {PLAIN} FROM rec"),
+    "t_03_commit_after_write": sql(OK360, f"SELECT {PLAIN} FROM rec"),
+    "t_04_late_rows": sql([BASE, MESSAGES], """SELECT (SELECT count(*) FROM events) AS input_rows, true AS some_dropped,
+        count(*) FILTER (kind <> 'station' AND ts < TIMESTAMP '2024-01-16') AS late_rows FROM ok"""),
     "t_05_drain_once": sql([BASE, MESSAGES], "SELECT kind AS event_type, region, count(*) AS n FROM ok GROUP BY 1, 2"),
-    "t_06_replay": sql(I360, "SELECT region, count(*) AS n, round(avg(impact_index), 10) AS mean_index FROM rec GROUP BY 1"),
+    "t_06_replay": sql(OK360, """, kept AS (SELECT region, count(*) + count(*) FILTER (ts < TIMESTAMP '2024-01-16') AS raw_rows FROM ok GROUP BY 1)
+        SELECT region, raw_rows, count(*) AS n, round(avg(impact_index), 10) AS mean_index FROM rec JOIN kept USING (region) GROUP BY 1, 2""").replace("\n, kept", ", kept"),
     "t_07_stream_reconcile": sql(ALL, f"SELECT {RECONCILED} FROM done"),
+    "t_07_stream_ingest": sql(OK_ALL, f"SELECT {RECONCILED} FROM done"),
     "t_08_quarantine_side_output": sql([BASE, MESSAGES], "SELECT claimed_type AS event_type, reason_code, count(*) AS n FROM msg WHERE reason_code IS NOT NULL GROUP BY 1, 2"),
-    "t_09_run_telemetry": sql(I360, "SELECT 'index' AS query, (SELECT count(*) FROM events) AS input_rows, (SELECT count(*) FROM rec) AS state_rows"),
+    "t_09_run_telemetry": "SELECT 'index' AS query, count(*) AS input_rows, CAST(0 AS BIGINT) AS late_rows, CAST(4 AS BIGINT) AS batches FROM events",
     # guards
     "g_01_tier_is_earned": sql(ALL, GUARD.format("tier_is_earned", "true", "done")),
     "g_02_reported_never_resolved": sql(ALL, GUARD.format("reported_never_resolved", "true", "cc")),

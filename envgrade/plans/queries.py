@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +28,7 @@ from envgrade.sources import envelopes as EV
 from envgrade.sources import pages as PG
 from envgrade.sources import tables as TB
 from envgrade.streaming import flows
-from envgrade.streaming.telemetry import METRICS_SCHEMA, progress_row
+from envgrade.streaming.telemetry import METRICS_SCHEMA, MetricsListener, late_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -212,17 +213,18 @@ def _(spark, d):
 @query("s_08_union_sources")
 def _(spark, d):
     ev = I.events(spark, d)
-    out, _ = EV.union_sources(
+    out, failures = EV.union_sources(
         {
             "stations": I.stations_of(ev),
             "models": I.satellites_of(ev),
             "absent": lambda: spark.read.parquet(f"{d}/no_such_source.parquet"),
         }
     )
-    return out.groupBy("source", "city").agg(
+    counts = out.groupBy("source", "city").agg(
         F.count(F.lit(1)).alias("n"), F.count("pm25_ugm3").alias("station_values"),
         F.count("model_pm25_ugm3").alias("model_values"),
     )
+    return counts.unionByName(EV.failure_rows(spark, failures), allowMissingColumns=True)
 
 
 @query("s_09_wrap_envelopes")
@@ -244,8 +246,8 @@ def _(spark, d):
 # --- tables ---------------------------------------------------------------------
 
 
-def _two_batches(spark, d) -> DataFrame:
-    """Batch 1 holds half the events; batch 2, all of them, written twice."""
+def _two_batches(spark, d) -> str:
+    """A table whose batch 1 holds half the events; batch 2, all of them, written twice."""
     path = scratch_path(spark, "records")
     ev = I.events(spark, d)
     part = ev.where(F.col("ts") < F.lit(I.FIRST_HALF.end))
@@ -253,12 +255,12 @@ def _two_batches(spark, d) -> DataFrame:
     full = IX.compute_records(ev, CFG)
     TB.upsert_records(full, path, 2)
     TB.upsert_records(full, path, 2)
-    return TB.read_record_table(spark, path)
+    return path
 
 
 @query("k_01_upsert_records")
 def _(spark, d):
-    table = _two_batches(spark, d)
+    table = TB.read_record_table(spark, _two_batches(spark, d))
     return table.groupBy("batch_id", "region").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -289,12 +291,19 @@ def _(spark, d):
 
 @query("k_04_current_records")
 def _(spark, d):
-    return without_detail(TB.current_records(_two_batches(spark, d)))
+    return without_detail(TB.current_records(TB.read_record_table(spark, _two_batches(spark, d)))).drop("run")
+
+
+@query("k_04_compact_records")
+def _(spark, d):
+    into = scratch_path(spark, "compact")
+    TB.compact_records(spark, _two_batches(spark, d), into)
+    return without_detail(TB.read_record_table(spark, into)).drop("run")
 
 
 @query("k_05_region_series")
 def _(spark, d):
-    return without_detail(TB.region_series(records(spark, d), "NAM"))
+    return without_detail(TB.served_series(spark, _two_batches(spark, d), "NAM"))
 
 
 @query("k_06_legacy_states")
@@ -533,19 +542,16 @@ def _(spark, d):
 
 @query("j_09_cities_without_rows")
 def _(spark, d):
-    # Location granularity stands in for cities, so that some contribute nothing.
-    hours = I.landed_hours(spark, d)
-    east = hours.where(F.col("region") == "ASI").withColumn(
-        "gate_reason", F.when(F.col("gate_reason") == CP.RETAINED, CP.NOT_ALIGNED).otherwise(F.col("gate_reason"))
-    )
-    rest = hours.where(~F.col("region").isin("ASI", "EUR"))
-    return CP.cities_without_rows(I.candidate_locations(spark, d), rest.unionByName(east))
+    # Sensors that report as stations; AFR has none.
+    reporting = I.stations(spark, d).select("station_id").distinct()
+    hours = I.gated_hours(spark, d).join(reporting, "station_id", "left_semi")
+    return CP.cities_without_rows(I.candidate_locations(spark, d), hours)
 
 
 @query("j_10_instrument_drift")
 def _(spark, d):
-    hours = CP.retained_stations(I.gated_hours(spark, d)).withColumn("day", F.dayofmonth("ts"))
-    first, second = hours.where("day <= 2"), hours.where("day >= 29")
+    hours = CP.retained_stations(I.gated_hours(spark, d))
+    first, second = RC.in_named_window(hours, "first_half", CFG), RC.in_named_window(hours, "second_half", CFG)
     return CP.instrument_drift(first, second, key="station_id")
 
 
@@ -720,6 +726,11 @@ def _(spark, d):
     return CP.call_status_summary(I.calls(spark, d))
 
 
+@query("a_29_calls_by_status")
+def _(spark, d):
+    return CP.calls_by_status(I.calls(spark, d))
+
+
 @query("a_30_admission_funnel")
 def _(spark, d):
     return AD.admission_funnel(in_radius(spark, d), I.sensors(spark, d), I.SENSOR_WINDOW, CFG)
@@ -732,7 +743,7 @@ def _(spark, d):
 
 @query("a_31_monthly_normals")
 def _(spark, d):
-    return R.monthly_normals(I.daily_series(spark, d)).drop("normal")
+    return R.monthly_normals(I.daily_series(spark, d))
 
 
 @query("a_32_station_population")
@@ -880,8 +891,7 @@ def _(spark, d):
 @query("u_03_sensor_difference")
 def _(spark, d):
     first, second = split_captures(spark, d)
-    early = first.where(F.hour("ts") < 6)
-    return CP.instrument_drift(early, second.where(F.hour("ts") >= 18), key="station_id")
+    return CP.instrument_drift(first, second, key="station_id")
 
 
 @query("u_04_cities_left_over")
@@ -962,28 +972,57 @@ def _(spark, d):
     return latest.select("region", "window_start", "window_end", "n_weather", "n_satellite")
 
 
-def _stream_messages(spark: SparkSession, d: str) -> DataFrame:
-    # One file is one split; the messages are built and parsed on all cores.
-    raw = _event_stream(spark, d).repartition(spark.sparkContext.defaultParallelism)
-    return EV.wrap_envelopes(I.to_events(raw))
+PER_PART = 4
 
 
-def _stream_index(spark: SparkSession, d: str):
-    path = scratch_path(spark, "index")
-    q = flows.stream_index(_stream_messages(spark, d), CFG, path, scratch_path(spark, "ck"))
+def _timed_messages(spark: SparkSession, d: str, parts) -> str:
+    """A folder of message files, faults included: PER_PART files for each span of time, span by span.
+
+    The order matters: were a later span read first, the watermark would make the others late.
+    """
+    path = scratch_path(spark, "messages")
+    rows = I.table(spark, d, "events")
+    for low, high in parts:
+        part = rows.where((F.col("ts") >= F.lit(low)) & (F.col("ts") < F.lit(high)))
+        I.messages_of(part).select("value").repartition(PER_PART).write.mode("append").text(path)
+    return path
+
+
+def _read_messages(spark: SparkSession, path: str) -> DataFrame:
+    return EV.read_envelopes(spark, path, streaming=True, options={"maxFilesPerTrigger": str(PER_PART)})
+
+
+def _listened(spark: SparkSession, run) -> DataFrame:
+    """The metrics table of the queries that ``run`` starts and waits for."""
+    path = scratch_path(spark, "metrics")
+    listener = MetricsListener(spark, path)
+    spark.streams.addListener(listener)
+    try:
+        for q in run():
+            listener.wait(q)
+    finally:
+        spark.streams.removeListener(listener)
+    return spark.read.schema(METRICS_SCHEMA).parquet(path)
+
+
+def _ended(q):
     q.awaitTermination()
-    return q, TB.current_records(TB.read_record_table(spark, path))
+    return q
 
 
 @query("t_02_stream_index")
 def _(spark, d):
-    return without_detail(_stream_index(spark, d)[1]).drop("batch_id")
+    path = scratch_path(spark, "index")
+    stream = _read_messages(spark, _timed_messages(spark, d, I.QUARTERS))
+    _ended(flows.stream_index(stream, CFG, path, scratch_path(spark, "ck")))
+    return without_detail(TB.current_records(TB.read_record_table(spark, path))).drop(*TB.VERSION)
 
 
 @query("t_03_commit_after_write")
 def _(spark, d):
     """The first attempt dies after its write; the restart replays the batch."""
     path, ck = scratch_path(spark, "crash"), scratch_path(spark, "ck")
+    source = _timed_messages(spark, d, I.QUARTERS)
     state = {"fail": True}
 
     def sink(df: DataFrame, batch_id: int) -> None:
@@ -991,29 +1030,39 @@ def _(spark, d):
         if state.pop("fail", False):
             raise RuntimeError("lost after the write, before the commit")
 
-    for _attempt in range(2):
-        q = flows.stream_index(_stream_messages(spark, d), CFG, sink, ck)
-        try:
-            q.awaitTermination()
-        except Exception:  # the planted failure; a second one would fail the result
-            continue
-    return without_detail(TB.current_records(TB.read_record_table(spark, path))).drop("batch_id")
+    try:
+        _ended(flows.stream_index(_read_messages(spark, source), CFG, sink, ck))
+    except StreamingQueryException as planted:
+        if "lost after the write" not in str(planted):
+            raise
+    _ended(flows.stream_index(_read_messages(spark, source), CFG, sink, ck))
+    return without_detail(TB.current_records(TB.read_record_table(spark, path))).drop(*TB.VERSION)
 
 
 @query("t_04_late_rows")
 def _(spark, d):
-    q, _rows = _stream_index(spark, d)
-    rows = [progress_row(p) for p in q.recentProgress]
-    metrics = spark.createDataFrame(rows, METRICS_SCHEMA)
-    return metrics.agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
+    """The second half of the month comes first, in two batches, so that all of the first half is late."""
+    parts = [*I.QUARTERS[2:], (I.FIRST_HALF.start, I.FIRST_HALF.end)]
+    source, raw = _timed_messages(spark, d, parts), scratch_path(spark, "raw")
+
+    def run():
+        ck = (scratch_path(spark, "ck"), scratch_path(spark, "ck"))
+        yield _ended(flows.stream_index(_read_messages(spark, source), CFG, scratch_path(spark, "index"), ck[0]))
+        bad = scratch_path(spark, "bad")
+        yield _ended(flows.stream_raw(_read_messages(spark, source), CFG, raw, bad, ck[1]))
+
+    metrics = _listened(spark, run)
+    late = late_events(TB.read_raw(spark, raw), CFG).agg(F.count(F.lit(1)).alias("late_rows"))
+    seen = metrics.where("query = 'index'").agg(
+        F.sum("input_rows").alias("input_rows"), (F.sum("late_rows") > 0).alias("some_dropped")
+    )
+    return seen.join(late)
 
 
 def _raw_and_quarantine(spark: SparkSession, d: str) -> tuple[str, str]:
     raw, bad = scratch_path(spark, "raw"), scratch_path(spark, "bad")
-    src = scratch_path(spark, "messages")
-    I.messages(spark, d).select("value").write.text(src)
-    stream = EV.read_envelopes(spark, src, streaming=True)
-    flows.stream_raw(stream, CFG, raw, bad, scratch_path(spark, "ck")).awaitTermination()
+    stream = _read_messages(spark, _timed_messages(spark, d, I.QUARTERS))
+    _ended(flows.stream_raw(stream, CFG, raw, bad, scratch_path(spark, "ck")))
     return raw, bad
 
 
@@ -1025,22 +1074,37 @@ def _(spark, d):
 
 @query("t_06_replay")
 def _(spark, d):
-    """The same messages drained twice, from scratch, into one table."""
-    path = scratch_path(spark, "replay")
-    for _round in range(2):
-        flows.stream_index(_stream_messages(spark, d), CFG, path, scratch_path(spark, "ck")).awaitTermination()
-    return TB.current_records(TB.read_record_table(spark, path)).groupBy("region").agg(
+    """A first run over half the messages; a second, with a new checkpoint, over all of them."""
+    raw, index = scratch_path(spark, "raw"), scratch_path(spark, "index")
+    for parts in (I.QUARTERS[:2], I.QUARTERS):
+        source = _timed_messages(spark, d, parts)
+        _ended(flows.stream_raw(_read_messages(spark, source), CFG, raw, scratch_path(spark, "bad"), scratch_path(spark, "ck")))
+        _ended(flows.stream_index(_read_messages(spark, source), CFG, index, scratch_path(spark, "ck")))
+    kept = TB.read_raw(spark, raw).groupBy("region").agg(F.count(F.lit(1)).alias("raw_rows"))
+    now = TB.current_records(TB.read_record_table(spark, index)).groupBy("region").agg(
         F.count(F.lit(1)).alias("n"), F.avg("impact_index").alias("mean_index")
     )
+    return kept.join(now, "region")
 
 
 @query("t_07_stream_reconcile")
 def _(spark, d):
-    raw, sink = scratch_path(spark, "raw"), scratch_path(spark, "reconciled")
+    raw, index, sink = (scratch_path(spark, n) for n in ("raw", "index", "reconciled"))
     TB.write_raw_batch(I.events(spark, d), raw, 0)
+    TB.upsert_records(records(spark, d), index, 0)
     stream = spark.readStream.schema(TB.RAW_SCHEMA).parquet(raw)
-    flows.stream_reconcile(stream, CFG, raw, sink, scratch_path(spark, "ck")).awaitTermination()
-    out = TB.current_records(TB.read_record_table(spark, sink)).drop("batch_id")
+    _ended(flows.stream_reconcile(stream, CFG, raw, sink, scratch_path(spark, "ck"), index_path=index))
+    out = TB.current_records(TB.read_record_table(spark, sink)).drop(*TB.VERSION)
+    return out.withColumn("cities", F.size("city_comparisons")).drop("city_comparisons")
+
+
+@query("t_07_stream_ingest")
+def _(spark, d):
+    """Raw rows, quarantine and reconciled records of each batch under one commit."""
+    raw, bad, sink = (scratch_path(spark, n) for n in ("raw", "bad", "records"))
+    stream = _read_messages(spark, _timed_messages(spark, d, I.QUARTERS))
+    _ended(flows.stream_ingest(stream, CFG, raw, bad, sink, scratch_path(spark, "ck")))
+    out = TB.current_records(TB.read_record_table(spark, sink)).drop(*TB.VERSION)
     return out.withColumn("cities", F.size("city_comparisons")).drop("city_comparisons")
 
 
@@ -1052,11 +1116,13 @@ def _(spark, d):
 
 @query("t_09_run_telemetry")
 def _(spark, d):
-    q, _rows = _stream_index(spark, d)
-    rows = [progress_row(p) for p in q.recentProgress]
-    metrics = spark.createDataFrame(rows, METRICS_SCHEMA)
-    return metrics.groupBy("query").agg(
-        F.sum("input_rows").alias("input_rows"), F.max("state_rows").alias("state_rows")
+    def run():
+        stream = _read_messages(spark, _timed_messages(spark, d, I.QUARTERS))
+        yield _ended(flows.stream_index(stream, CFG, scratch_path(spark, "index"), scratch_path(spark, "ck")))
+
+    return _listened(spark, run).groupBy("query").agg(
+        F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"),
+        F.count_if(F.col("input_rows") > 0).alias("batches"),
     )
 
 

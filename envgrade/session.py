@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 REQUIRED_CONF = {
     # Event time is UTC everywhere; a local zone would shift windows and months.
@@ -21,6 +20,8 @@ TUNING_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A few large files are read in more pieces, as parsing costs more than reading.
+    "spark.sql.files.openCostInBytes": "1m",
     # Call sites per expression make wide plans slow to build.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -45,39 +46,26 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster, or a private one when none is named."""
+    """The shared folder named by the cluster; a private one only on a local master."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="envgrade-")
     spark.sparkContext.setCheckpointDir(root)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{checkpoint_root(spark)}/envgrade/{label}-{uuid.uuid4().hex}"
-
-
-def broadcast_if_bounded(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
-    """Hint a broadcast only when the row count is known and within the limit.
-
-    Beyond the limit the hint is left out, so the planner picks a shuffled join
-    (or a broadcast of its own, after measuring the size at run time).
-    """
-    return F.broadcast(df) if rows <= max_rows else df
-
-
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Spread a batch input over the cores when it has fewer splits than there are.
-
-    Meant for costly per-row work such as parsing JSON out of a few files. An input
-    that already has enough splits is left alone and is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A new path in the shared folder; what is written there goes when the application ends."""
+    path = f"{checkpoint_root(spark)}/envgrade/{label}-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
 def land(df: DataFrame, label: str) -> DataFrame:

@@ -85,3 +85,9 @@ def union_sources(
     for df in opened[1:]:
         out = out.unionByName(df, allowMissingColumns=True)
     return out, failures
+
+
+def failure_rows(spark: SparkSession, failures: Mapping[str, str]) -> DataFrame:
+    """What `union_sources` could not open, one row per source: at most as many as were asked for."""
+    rows = [(name, fault, 0) for name, fault in sorted(failures.items())]
+    return spark.createDataFrame(rows, "source string, fault string, n bigint")

@@ -1,13 +1,15 @@
 """Record, raw and quarantine tables on plain Parquet.
 
-Records are written to one ``batch_id`` partition per batch and read latest-wins, so
-a replayed batch replaces itself and a recomputed window replaces its older row.
-Where the table format supports MERGE, ``merge_statement`` gives the same upsert.
+A writer is a ``run``: a name that sorts by when the writer was made. Batch numbers
+count within a run, so a new checkpoint, which counts from zero again, never touches
+what an earlier one wrote. Every batch has a partition of its own: written again, it
+replaces itself. Records are read latest-wins, by run and then by batch.
+``compact_records`` keeps the latest row per key in one partition.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,50 +17,71 @@ from pyspark.sql import functions as F
 from envgrade import schemas as S
 from envgrade.config import Settings
 
-RECORD_TABLE_SCHEMA = S.T.StructType(
-    [*S.RECORD_SCHEMA.fields, S.T.StructField("batch_id", S.T.LongType())]
-)
+VERSION = ("run", "batch_id")
+VERSION_FIELDS = [S.T.StructField("run", S.T.StringType()), S.T.StructField("batch_id", S.T.LongType())]
+RECORD_TABLE_SCHEMA = S.T.StructType([*S.RECORD_SCHEMA.fields, *VERSION_FIELDS])
+# The run of a writer that numbers its batches itself and has no checkpoint.
+BATCH_RUN = "0"
 
 
 class SnapshotFault(RuntimeError):
     """A snapshot that must not be served."""
 
 
-def upsert_records(records: DataFrame, path: str, batch_id: int) -> None:
-    """Write one batch of records; writing the same batch again changes nothing."""
+def _versioned(df: DataFrame, run: str, batch_id: int) -> DataFrame:
+    return df.withColumns({"run": F.lit(run), "batch_id": F.lit(int(batch_id)).cast("bigint")})
+
+
+def _write_batch(df: DataFrame, path: str, *parts: str) -> None:
     (
-        records.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", "region")
+        .partitionBy(*VERSION, *parts)
         .parquet(path)
     )
 
 
-def merge_statement(target: str, source_view: str, keys: Sequence[str] = S.KEY) -> str:
-    """MERGE for a catalog table whose format supports it."""
-    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-    return (
-        f"MERGE INTO {target} t USING {source_view} s ON {on} "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-    )
+def upsert_records(records: DataFrame, path: str, batch_id: int, run: str = BATCH_RUN) -> None:
+    """Write one batch of records; writing the same batch of a run again changes nothing."""
+    _write_batch(_versioned(records, run, batch_id), path, "region")
 
 
 def read_record_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RECORD_TABLE_SCHEMA).parquet(path)
 
 
-def current_records(table: DataFrame, version: str = "batch_id") -> DataFrame:
-    """Latest row per natural key.
+def current_records(table: DataFrame) -> DataFrame:
+    """Latest row per natural key, by run and then by batch.
 
     An aggregate rather than a ranking: it combines map-side, so a key rewritten by
     very many batches still reaches its task as one row per input task.
     """
     rest = [c for c in table.columns if c not in S.KEY]
-    latest = F.max_by(F.struct(*rest), F.col(version))
+    version = F.struct(*[c for c in VERSION if c in table.columns])
+    latest = F.max_by(F.struct(*rest), version)
     return table.groupBy(*S.KEY).agg(latest.alias("_r")).select(*S.KEY, "_r.*")
 
 
+def compact_records(spark: SparkSession, path: str, into: str) -> None:
+    """Write the latest row per key to a new table with one version.
+
+    It carries the newest version of the old table, so later batches still win and
+    readers can move to the new folder at any time after this returns.
+    """
+    table = read_record_table(spark, path)
+    newest = table.agg(F.max(F.struct(*VERSION)).alias("v")).first()["v"]
+    if newest is not None:
+        rows = current_records(table).drop(*VERSION)
+        _write_batch(_by_partition(_versioned(rows, newest["run"], newest["batch_id"]), "region"), into, "region")
+
+
+def served_series(spark: SparkSession, path: str, region: str) -> DataFrame:
+    """The read path: one region of a record table, latest row per key, older layouts
+    filled, in window order. The region prunes partitions before anything is merged."""
+    rows = current_records(read_record_table(spark, path).where(F.col("region") == region))
+    return with_legacy_states(rows).select(*S.RECORD_COLUMNS).orderBy("window_start")
+
+
 def region_series(table: DataFrame, region: str) -> DataFrame:
     """One region's rows by window start; the region prunes partitions."""
     return table.where(F.col("region") == region).orderBy("window_start")
@@ -107,24 +130,16 @@ def append_raw(events: DataFrame, path: str) -> None:
     )
 
 
-def write_raw_batch(events: DataFrame, path: str, batch_id: int) -> None:
+def write_raw_batch(events: DataFrame, path: str, batch_id: int, run: str = BATCH_RUN) -> None:
     """The stream's raw append: a replayed batch replaces its own files."""
-    dated = events.withColumns(
-        {"batch_id": F.lit(int(batch_id)).cast("bigint"), "event_date": F.to_date("ts")}
-    )
-    (
-        _by_partition(dated, "event_date", "region")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", "event_date", "region")
-        .parquet(path)
-    )
+    dated = _versioned(events, run, batch_id).withColumn("event_date", F.to_date("ts"))
+    _write_batch(_by_partition(dated, "event_date", "region"), path, "event_date", "region")
 
 
 RAW_SCHEMA = S.T.StructType(
     [
         *[f for f in S.EVENT_SCHEMA.fields if f.name != "region"],
-        S.T.StructField("batch_id", S.T.LongType()),
+        *VERSION_FIELDS,
         S.T.StructField("event_date", S.T.DateType()),
         S.T.StructField("region", S.T.StringType()),
     ]
@@ -135,18 +150,14 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).parquet(path)
 
 
-def write_quarantine(rejected: DataFrame, path: str, batch_id: int | None = None) -> None:
+def write_quarantine(
+    rejected: DataFrame, path: str, batch_id: int | None = None, run: str = BATCH_RUN
+) -> None:
     """Keep rejected messages; nothing downstream reads this table."""
     if batch_id is None:
         rejected.write.mode("append").partitionBy("reason_code").parquet(path)
         return
-    (
-        rejected.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", "reason_code")
-        .parquet(path)
-    )
+    _write_batch(_versioned(rejected, run, batch_id), path, "reason_code")
 
 
 def fan_out(records: DataFrame, batch_id: int, durable: Callable, serving: Callable) -> None:

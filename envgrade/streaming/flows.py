@@ -2,14 +2,20 @@
 
 ``stream_raw`` keeps accepted and rejected messages; ``stream_index`` keeps window
 state in Spark, so a window that spans many batches counts all of its events;
-``stream_reconcile`` recomputes the windows a batch has touched from the raw table.
+``stream_reconcile`` attaches comparisons to the windows a batch has touched;
+``stream_ingest`` does all of it from one parse, under one commit.
+
+Late rows: ``stream_index`` drops and counts them. ``stream_ingest`` recomputes from
+the raw table, so a late row counts in its window there. ``stream_reconcile`` takes
+the index records as they are where it is given their table.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -19,7 +25,9 @@ from envgrade.operators.gate import split_valid, valid_events, validate_envelope
 from envgrade.operators.index import aggregate_windows, as_records, compute_records, score_windows, with_windows
 from envgrade.operators.reconcile import reconcile_rows
 from envgrade.sources.tables import (
+    current_records,
     read_raw,
+    read_record_table,
     upsert_records,
     write_quarantine,
     write_raw_batch,
@@ -37,6 +45,28 @@ def start(
     return writer.start()
 
 
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The name of a checkpoint as a writer: when it was made, and its query's id.
+
+    Both are in the checkpoint, so a restart keeps the name and a new one sorts later.
+    """
+    made = spark.read.format("binaryFile").load(f"{checkpoint}/metadata").select("modificationTime", "content")
+    row = made.first()
+    return f"{int(row['modificationTime'].timestamp() * 1000):013d}-{json.loads(bytes(row['content']))['id']}"
+
+
+def _in_run(checkpoint: str, write: Callable[[DataFrame, int, str], None]) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that also tells its run, looked up once."""
+    known: list[str] = []
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if not known:
+            known.append(run_of(batch.sparkSession, checkpoint))
+        write(batch, batch_id, known[0])
+
+    return run
+
+
 def gated_stream(messages: DataFrame, cfg: Settings) -> DataFrame:
     """Gate with its counters observed, for the telemetry of the query."""
     return validate_envelopes(messages, cfg, metrics=GATE_METRICS)
@@ -47,16 +77,37 @@ def stream_raw(
 ) -> StreamingQuery:
     """One gate, two outputs, from one evaluation of the batch."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int, run_name: str) -> None:
+        held = batch.persist()
+        try:
+            valid, rejected = split_valid(held)
+            write_raw_batch(valid, raw_path, batch_id, run_name)
+            write_quarantine(rejected, quarantine_path, batch_id, run_name)
+        finally:
+            held.unpersist()
+
+    writer = gated_stream(messages, cfg).writeStream.queryName("raw").foreachBatch(_in_run(checkpoint, write))
+    return start(writer, checkpoint, **run)
+
+
+def stream_ingest(
+    messages: DataFrame, cfg: Settings, raw_path: str, quarantine_path: str, sink: str, checkpoint: str, **run
+) -> StreamingQuery:
+    """Raw append, quarantine and reconciled records of a batch, under one offset commit."""
+
+    def write(batch: DataFrame, batch_id: int, run_name: str) -> None:
         held = batch.persist()
         try:
             valid, rejected = split_valid(held)
-            write_raw_batch(valid, raw_path, batch_id)
-            write_quarantine(rejected, quarantine_path, batch_id)
+            write_raw_batch(valid, raw_path, batch_id, run_name)
+            write_quarantine(rejected, quarantine_path, batch_id, run_name)
+            raw = read_raw(batch.sparkSession, raw_path)
+            records = recompute_windows(raw, touched_windows(valid, cfg), cfg)
+            upsert_records(records, sink, batch_id, run_name)
         finally:
             held.unpersist()
 
-    writer = gated_stream(messages, cfg).writeStream.queryName("raw").foreachBatch(write)
+    writer = gated_stream(messages, cfg).writeStream.queryName("ingest").foreachBatch(_in_run(checkpoint, write))
     return start(writer, checkpoint, **run)
 
 
@@ -73,63 +124,66 @@ def stream_index(
     **run,
 ) -> StreamingQuery:
     """Messages to upserted index records. ``sink`` is a table path or a function."""
-    write_records = sink if callable(sink) else (lambda df, i: upsert_records(df, sink, i))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int, run_name: str) -> None:
         # Scoring is a per-row projection, so it stays outside the state.
-        write_records(as_records(score_windows(batch, cfg)), batch_id)
+        records = as_records(score_windows(batch, cfg))
+        if callable(sink):
+            sink(records, batch_id)
+        else:
+            upsert_records(records, sink, batch_id, run_name)
 
     events = valid_events(gated_stream(messages, cfg))
     writer = windowed_stream(events, cfg).writeStream.queryName("index")
-    return start(writer.outputMode("update").foreachBatch(write), checkpoint, **run)
+    return start(writer.outputMode("update").foreachBatch(_in_run(checkpoint, write)), checkpoint, **run)
 
 
 def touched_windows(events: DataFrame, cfg: Settings) -> DataFrame:
     return with_windows(events, cfg.window_minutes).select(*S.KEY).distinct()
 
 
-def recompute_windows(raw: DataFrame, touched: DataFrame, cfg: Settings) -> DataFrame:
-    """Reconciled records of the touched windows, from everything the raw table holds.
+def recompute_windows(
+    raw: DataFrame, touched: DataFrame, cfg: Settings, records: DataFrame | None = None
+) -> DataFrame:
+    """Reconciled records of the touched windows, from everything the raw table holds,
+    or with comparisons attached to given records.
 
-    The span of the touched windows is one small row; as literals it prunes the date
-    partitions, which a join alone would do only by region.
+    The touched dates, a short list for any batch, prune the date partitions. Raw rows
+    of those dates are aggregated to windows first; only then are windows picked, so a
+    busy region combines map-side and no join sees raw rows.
     """
-    span = touched.agg(F.min("window_start").alias("lo"), F.max("window_end").alias("hi")).first()
-    if span["lo"] is None:
-        return reconcile_rows(compute_records(raw.limit(0), cfg), raw.limit(0), raw.limit(0), cfg)
-    near = raw.where(
-        (F.col("event_date") >= F.to_date(F.lit(span["lo"])))
-        & (F.col("event_date") <= F.to_date(F.lit(span["hi"])))
-    )
-    events = with_windows(near, cfg.window_minutes).join(touched, S.KEY, "left_semi").drop(
-        "window_start", "window_end"
-    )
-    stations = events.where(F.col("event_type") == S.STATION)
-    models = events.where(F.col("event_type") == S.SATELLITE)
-    return reconcile_rows(compute_records(events, cfg), stations, models, cfg)
+    days = F.explode(F.sequence(F.to_date("window_start"), F.to_date("window_end")))
+    dates = [r[0] for r in touched.select(days.alias("day")).distinct().collect()]
+    near = raw.where(F.col("event_date").isin(dates)) if dates else raw.limit(0)
+    stations = near.where(F.col("event_type") == S.STATION)
+    models = near.where(F.col("event_type") == S.SATELLITE)
+    base = compute_records(near, cfg) if records is None else records
+    return reconcile_rows(base.join(touched, S.KEY, "left_semi"), stations, models, cfg)
 
 
 def stream_reconcile(
-    raw_stream: DataFrame, cfg: Settings, raw_path: str, sink: str, checkpoint: str, **run
+    raw_stream: DataFrame,
+    cfg: Settings,
+    raw_path: str,
+    sink: str,
+    checkpoint: str,
+    index_path: str | None = None,
+    **run,
 ) -> StreamingQuery:
     """Reconciled records follow the raw table. Seeing a file twice is harmless: its
-    windows are recomputed to the same rows."""
+    windows are recomputed to the same rows. With ``index_path`` the index values are
+    those of that table, and a window it does not hold gets no record."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int, run_name: str) -> None:
+        spark = batch.sparkSession
         touched = touched_windows(batch, cfg).persist()
         try:
-            raw = read_raw(batch.sparkSession, raw_path)
-            upsert_records(recompute_windows(raw, touched, cfg), sink, batch_id)
+            index = current_records(read_record_table(spark, index_path)) if index_path else None
+            if index is not None:
+                index = index.select(*S.RECORD_COLUMNS)
+            done = recompute_windows(read_raw(spark, raw_path), touched, cfg, index)
+            upsert_records(done, sink, batch_id, run_name)
         finally:
             touched.unpersist()
 
-    writer = raw_stream.writeStream.queryName("reconcile").foreachBatch(write)
+    writer = raw_stream.writeStream.queryName("reconcile").foreachBatch(_in_run(checkpoint, write))
     return start(writer, checkpoint, **run)
-
-
-def without_replays(events: DataFrame, event_id: str, cfg: Settings) -> DataFrame:
-    """Drop repeated ids inside the watermark, where events carry an id of their own.
-
-    Replays have to arrive in time order, or within the watermark, to survive it.
-    """
-    return events.withWatermark("ts", cfg.watermark).dropDuplicatesWithinWatermark([event_id])

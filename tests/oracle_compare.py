@@ -10,7 +10,7 @@ import duckdb
 
 DUCK_TYPES = {
     "BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean",
-    "TIMESTAMP": "timestamp_ntz",
+    "TIMESTAMP": "timestamp_ntz", "INTEGER": "int",
 }
 
 

@@ -6,7 +6,7 @@ from envgrade.config import Settings
 from envgrade.operators.index import compute_records
 from envgrade.sources import tables as TB
 from envgrade.streaming import flows
-from envgrade.streaming.telemetry import MetricsListener, late_rows
+from envgrade.streaming.telemetry import MetricsListener, dropped_rows
 from envgrade.operators.guards import enforce, same_index
 from envgrade.sources.envelopes import read_envelopes, wrap_envelopes
 from tests.helpers import frame, satellite, station, weather
@@ -127,19 +127,12 @@ def test_raw_quarantine_reconcile_and_telemetry(spark, tmp_path, landed):
     listener = MetricsListener(spark, metrics)
     spark.streams.addListener(listener)
     try:
-        flows.stream_raw(read_envelopes(spark, folder, streaming=True), CFG, raw, bad, str(tmp_path / "c1")).awaitTermination()
+        q = flows.stream_raw(read_envelopes(spark, folder, streaming=True), CFG, raw, bad, str(tmp_path / "c1"))
+        q.awaitTermination()
         flows.stream_reconcile(
             spark.readStream.schema(TB.RAW_SCHEMA).parquet(raw), CFG, raw, done, str(tmp_path / "c2")).awaitTermination()
+        listener.wait(q)
     finally:
-        import time
-
-        for _wait in range(60):
-            try:
-                if spark.read.parquet(metrics).where("query = 'raw' and observed like '%84%'").count() or _wait == 59:
-                    break
-            except Exception:
-                pass
-            time.sleep(0.5)
         spark.streams.removeListener(listener)
     assert TB.read_raw(spark, raw).count() == len(rows)
     assert sorted((r.event_type, r.reason_code) for r in spark.read.parquet(bad).collect()) == [("radar", "schema"), ("unknown", "parse")]
@@ -160,17 +153,81 @@ def test_late_rows_are_counted_and_left_out(spark, tmp_path):
     def add(rows):
         wrap_envelopes(frame(spark, rows)).select("value").coalesce(1).write.mode("append").text(folder)
 
-    sink, ck = str(tmp_path / "idx"), str(tmp_path / "ck")
+    sink, ck, metrics = (str(tmp_path / n) for n in ("idx", "ck", "metrics"))
+    listener = MetricsListener(spark, metrics)
+    spark.streams.addListener(listener)
 
-    def drain():
+    def dropped():
         q = flows.stream_index(read_envelopes(spark, folder, streaming=True), cfg, sink, ck)
         q.awaitTermination()
-        return q
+        listener.wait(q)
+        return dropped_rows(spark.read.parquet(metrics), "index")
 
-    add([weather("2026-07-17T01:10:00", "EUR", 20.0), weather("2026-07-17T09:10:00", "EUR", 20.0)])
-    assert late_rows(drain()) == 0
-    add([weather("2026-07-17T01:20:00", "EUR", 99.0), weather("2026-07-17T09:20:00", "EUR", 22.0)])
-    assert late_rows(drain()) == 1
+    try:
+        add([weather("2026-07-17T01:10:00", "EUR", 20.0), weather("2026-07-17T09:10:00", "EUR", 20.0)])
+        assert dropped() == 0
+        add([weather("2026-07-17T01:20:00", "EUR", 99.0), weather("2026-07-17T09:20:00", "EUR", 22.0)])
+        assert dropped() == 1
+    finally:
+        spark.streams.removeListener(listener)
     rows = {r.window_start.hour: r for r in TB.current_records(TB.read_record_table(spark, sink)).collect()}
     assert rows[1].temperature_anomaly == pytest.approx(20.0 - 21.1)
     assert rows[9].temperature_anomaly == pytest.approx(21.0 - 21.1)
+
+
+def test_a_new_checkpoint_keeps_what_an_older_one_wrote(spark, tmp_path):
+    """Batch numbers start at 0 again; rows stay, and the newer run wins per key."""
+    first, second = _day(range(0, 3)), _day(range(2, 6))
+    raw, bad, sink = (str(tmp_path / n) for n in ("raw", "bad", "idx"))
+    for n, rows in enumerate((first, second)):
+        folder = str(tmp_path / f"m{n}")
+        wrap_envelopes(frame(spark, rows)).select("value").coalesce(1).write.text(folder)
+        stream = lambda: read_envelopes(spark, folder, streaming=True)
+        flows.stream_raw(stream(), CFG, raw, bad, str(tmp_path / f"r{n}")).awaitTermination()
+        flows.stream_index(stream(), CFG, sink, str(tmp_path / f"i{n}")).awaitTermination()
+    assert TB.read_raw(spark, raw).count() == len(first) + len(second)
+    table = TB.read_record_table(spark, sink)
+    assert table.select("run").distinct().count() == 2
+    now = TB.current_records(table)
+    assert now.count() == 24
+    newest = table.agg(F.max("run")).first()[0]
+    assert now.where("hour(window_start) = 2").select("run").distinct().collect()[0][0] == newest
+    into = str(tmp_path / "compact")
+    TB.compact_records(spark, sink, into)
+    compact = TB.read_record_table(spark, into)
+    assert compact.count() == 24 and compact.select(*TB.VERSION).distinct().count() == 1
+    changed = compute_records(frame(spark, second), CFG).withColumn("impact_index", F.lit(1.0))
+    TB.upsert_records(changed, into, 99, newest)
+    assert TB.current_records(TB.read_record_table(spark, into)).where("impact_index = 1.0").count() == 16
+
+
+def test_read_path_prunes_and_fills(spark, tmp_path):
+    path = str(tmp_path / "t")
+    TB.upsert_records(compute_records(frame(spark, _day(range(3))), CFG), path, 1)
+    out = TB.served_series(spark, path, "EUR")
+    assert [r.window_start.hour for r in out.collect()] == [0, 1, 2] and out.columns == list(S.RECORD_COLUMNS)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(region" in plan
+
+
+def test_ingest_writes_all_three_under_one_commit(spark, tmp_path, landed):
+    rows, folder = landed
+    raw, bad, sink, ck = (str(tmp_path / n) for n in ("raw", "bad", "idx", "ck"))
+    stream = read_envelopes(spark, folder, streaming=True, options={"maxFilesPerTrigger": "1"})
+    flows.stream_ingest(stream, CFG, raw, bad, sink, ck).awaitTermination()
+    assert TB.read_raw(spark, raw).count() == len(rows)
+    out = TB.current_records(TB.read_record_table(spark, sink))
+    assert enforce(same_index(out, compute_records(frame(spark, rows), CFG)), "ingest") == 24
+    assert {r.covered_city_count for r in out.collect()} == {1}
+
+
+def test_reconcile_keeps_the_index_of_its_table(spark, tmp_path):
+    rows = _day(range(2))
+    raw, index, sink = (str(tmp_path / n) for n in ("raw", "idx", "out"))
+    TB.write_raw_batch(frame(spark, rows), raw, 0)
+    early = compute_records(frame(spark, rows), CFG).withColumn("impact_index", F.lit(7.0))
+    TB.upsert_records(early, index, 0)
+    stream = spark.readStream.schema(TB.RAW_SCHEMA).parquet(raw)
+    flows.stream_reconcile(stream, CFG, raw, sink, str(tmp_path / "ck"), index_path=index).awaitTermination()
+    out = TB.current_records(TB.read_record_table(spark, sink)).collect()
+    assert len(out) == 8 and {r.impact_index for r in out} == {7.0} and {r.covered_city_count for r in out} == {1}
