@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envgrade.llm.common import content, table, utf8
+from envgrade.llm.common import content, small_batches, table, utf8
 
 # The pre-tokenisation pattern of the byte-level vocabularies.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -233,6 +233,7 @@ def encode_and_decode(
     docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Per document: doc_id, n_tokens, ids (binary, little-endian unsigned 32-bit) and the text decoded from them."""
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)

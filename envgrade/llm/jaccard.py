@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envgrade.llm.common import components, content, cut, release, table, utf8
+from envgrade.llm.common import components, content, cut, release, small_batches, table, utf8
 from envgrade.llm.neardup import union
 
 WORDS = 5
@@ -42,7 +42,7 @@ STRIP = 128
 STRIP_NAMES = 1 << 20
 # Buckets of up to so many classes are compared many at a time.
 SMALL = 64
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -426,6 +426,7 @@ def near_copies(
     """One row per document: doc_id, crc, n_links (other documents at the threshold or above), class_id (the smallest
     doc_id reachable by links, itself included), copy_of (the smallest doc_id with an equal set) and kept
     (true for one row of each class)."""
+    small_batches(docs.sparkSession)
     texts = _texts(docs, id_col, text_col)
     rows = cut(
         described(texts, runs_for(recall, threshold)).withColumn("row", F.monotonically_increasing_id()), "described"

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envgrade.llm.bpe import Encoder, Vocabulary, WORD_PATTERN
-from envgrade.llm.common import content, table
+from envgrade.llm.common import content, small_batches, table
 
 SENTENCE_PENALTY = 4
 TOKEN_PENALTY = 32
@@ -161,6 +161,7 @@ def pack(
     docs: DataFrame, vocabulary: str, size: int = 1024, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (binary), doc_tokens, sequence_id, offset."""
+    small_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 

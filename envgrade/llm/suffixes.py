@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envgrade.llm.common import content, cut, release, table
+from envgrade.llm.common import content, cut, release, small_batches, table
 
 LENGTH = 100
 GRAM = 24
@@ -251,6 +251,7 @@ def _spread_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def covered_runs(texts: DataFrame) -> DataFrame:
     """Runs (ord, crc, start, n) of strings that also start earlier; they may overlap."""
     spark = texts.sparkSession
+    small_batches(spark)
     counts = texts.select("body").mapInArrow(_count_buckets, "key long, runs long")
     shared = counts.groupBy("key").agg(F.sum("runs").alias("runs")).where("runs > 1").select("key")
     runs = texts.mapInArrow(

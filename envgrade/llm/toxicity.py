@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envgrade.llm.common import content, table, utf8
+from envgrade.llm.common import content, small_batches, table, utf8
 
 SIZES = (3, 4, 5, 6)
 BUCKET_BITS = 20
@@ -99,6 +99,7 @@ def id_remainder(doc_id: str) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     """The model, learnt from labelled rows that are not held out: (buckets, weights, bias)."""
+    small_batches(docs.sparkSession)
     known = (
         labels.where("toxic is not null and doc_id is not null").where(id_remainder("doc_id") != 0)
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
