@@ -7,7 +7,9 @@ holds a third of the data, so the groups are narrowed first:
 1. equal values collapse to (value, count), shuffled by group *and* value;
 2. a histogram over order-preserving value bins, summed map-side, tells in which
    bin the wanted ranks fall (a group has a few thousand bins at most);
-3. only those bins are ranked, each in its own partition.
+3. those bins are cut again, evenly between their own smallest and largest value, so
+   that a group whose values lie close together spreads too;
+4. only the parts that hold a wanted rank are ranked, each in its own partition.
 
 The result is exact. Interpolation is linear, as in ``percentile``.
 """
@@ -21,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS_PER_OCTAVE = 1024
+PARTS_PER_BIN = 1024
 
 
 def _bin(value: Column) -> Column:
@@ -59,7 +62,7 @@ def exact_percentiles(
     by_bin = Window.partitionBy("_g").orderBy("_bin")
     bins = (
         values.groupBy("_g", "_bin")
-        .agg(F.sum("_k").alias("_bin_n"))
+        .agg(F.sum("_k").alias("_bin_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
         .withColumn(
             "_upto",
             F.sum("_bin_n").over(by_bin.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
@@ -82,14 +85,29 @@ def exact_percentiles(
         reduce(lambda a, b: a | b, [covered(F.col("_upto"), F.col("_bin_n"), r) for r in wanted])
     ).withColumn("_before", F.col("_upto") - F.col("_bin_n")).drop("_upto", "_bin_n")
 
-    in_bin = (
-        Window.partitionBy("_g", "_bin")
+    place = (F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low")) * F.lit(float(PARTS_PER_BIN - 1))
+    near = values.join(hit_bins, ["_g", "_bin"], "inner").withColumn(
+        "_part", F.when(F.col("_high") > F.col("_low"), F.floor(place)).otherwise(F.lit(0).cast("bigint"))
+    )
+    by_part = Window.partitionBy("_g", "_bin").orderBy("_part")
+    parts = (
+        near.groupBy("_g", "_bin", "_part")
+        .agg(F.sum("_k").alias("_part_n"), F.max("_before").alias("_before"), F.max("n").alias("n"))
+        .withColumn("_upto", F.col("_before") + F.sum("_part_n").over(
+            by_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    )
+    hit_parts = parts.where(
+        reduce(lambda a, b: a | b, [covered(F.col("_upto"), F.col("_part_n"), r) for r in wanted])
+    ).select("_g", "_bin", "_part", (F.col("_upto") - F.col("_part_n")).alias("_start"))
+
+    in_part = (
+        Window.partitionBy("_g", "_bin", "_part")
         .orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ranked = (
-        values.join(hit_bins, ["_g", "_bin"], "inner")
-        .withColumn("_upto", F.col("_before") + F.sum("_k").over(in_bin))
+        near.join(hit_parts, ["_g", "_bin", "_part"], "inner")
+        .withColumn("_upto", F.col("_start") + F.sum("_k").over(in_part))
     )
     picks = []
     for name, p in probs.items():

@@ -13,7 +13,6 @@ from envgrade import schemas as S
 from envgrade.config import Settings, WindowSpan
 from envgrade.functions.scalars import mqo_tolerance
 from envgrade.operators.index import with_windows
-from envgrade.operators.percentiles import exact_median
 
 
 class WindowViolation(ValueError):
@@ -57,15 +56,16 @@ def settled_only(df: DataFrame, as_of: Column, cfg: Settings, ts: str = "ts") ->
 
 
 def city_station_values(stations: DataFrame, cfg: Settings, distinct: bool = False) -> DataFrame:
-    """Median and row count per city-window, on request the distinct stations too."""
-    rows = with_windows(stations, cfg.window_minutes)
-    out = exact_median(rows, S.CITY_KEY, "pm25_ugm3", "station_pm25_ugm3").withColumnRenamed(
-        "n", "station_count"
+    """Median and row count per city-window, on request the distinct stations too.
+
+    A city-window holds one value per station and hour, so the built-in median, which
+    keeps a group's distinct values in one buffer, is enough here.
+    """
+    rows = with_windows(stations.where(F.col("pm25_ugm3").isNotNull()), cfg.window_minutes)
+    ids = [F.count_distinct("station_id").alias("distinct_stations")] if distinct else []
+    return rows.groupBy(*S.CITY_KEY).agg(
+        F.count(F.lit(1)).alias("station_count"), F.median("pm25_ugm3").alias("station_pm25_ugm3"), *ids
     )
-    if distinct:
-        ids = rows.groupBy(*S.CITY_KEY).agg(F.count_distinct("station_id").alias("distinct_stations"))
-        out = out.join(ids, S.CITY_KEY, "inner")
-    return out
 
 
 def city_model_values(models: DataFrame, cfg: Settings) -> DataFrame:
@@ -91,11 +91,22 @@ def compare_city(df: DataFrame, cfg: Settings) -> DataFrame:
 
 def city_windows(stations: DataFrame, models: DataFrame, cfg: Settings) -> DataFrame:
     """Every city-window seen on either side, compared."""
-    # Both inputs are already one row per key, so the outer join cannot be skewed.
-    joined = city_station_values(stations, cfg).join(
-        city_model_values(models, cfg), S.CITY_KEY, "full_outer"
+    sides = (
+        (stations.where(F.col("pm25_ugm3").isNotNull()), F.col("pm25_ugm3"), F.lit(None)),
+        (models, F.lit(None), F.col("model_pm25_ugm3")),
+    )
+    told = [
+        with_windows(df, cfg.window_minutes).select(
+            *S.CITY_KEY, station.cast("double").alias("_station"), model.cast("double").alias("_model")
+        )
+        for df, station, model in sides
+    ]
+    # One aggregate over both sides: a city-window of one side only is simply half null.
+    joined = told[0].unionByName(told[1]).groupBy(*S.CITY_KEY).agg(
+        F.median("_station").alias("station_pm25_ugm3"),
+        F.avg("_model").alias("model_pm25_ugm3"),
+        F.count("_station").alias("station_count"),
     )
-    joined = joined.withColumn("station_count", F.coalesce(F.col("station_count"), F.lit(0).cast("bigint")))
     return compare_city(joined, cfg).select(
         *S.CITY_KEY, "station_pm25_ugm3", "model_pm25_ugm3", "tolerance", "station_count", "state"
     )
@@ -104,8 +115,9 @@ def city_windows(stations: DataFrame, models: DataFrame, cfg: Settings) -> DataF
 def rollup_region(cw: DataFrame) -> DataFrame:
     """Region-window state, tier, counts and the per-city detail sorted by city.
 
-    The detail array has one element per city of the region, the width of the
-    record itself. Reports over many windows read the flat city-window rows.
+    The detail array has one element per distinct city seen in the region-window, the
+    width of the record itself. The gate takes any text as a city, so a feed that makes
+    up cities widens it. Reports over many windows read the flat city-window rows.
     """
     flagged = F.count_if(F.col("state") == S.DISAGREED)
     covered = F.count_if(F.col("state") != S.NOT_COMPARED)
@@ -167,12 +179,14 @@ def explode_comparisons(records: DataFrame) -> DataFrame:
     return records.select(*S.KEY, F.inline("city_comparisons"))
 
 
-def events_in_spans(events: DataFrame, spans: DataFrame, bin_minutes: int) -> DataFrame:
+def events_in_spans(events: DataFrame, spans: DataFrame, bin_minutes: int, splits: int = 8) -> DataFrame:
     """Attach events to arbitrary half-open spans of their region.
 
     Tumbling windows never need this: their key is computed from ``ts``. For free
     spans, each span is listed under the time bins it touches, which turns the
-    interval condition into an equi join plus a filter.
+    interval condition into an equi join plus a filter. There are few regions, so the
+    events of a bin are dealt into ``splits`` parts by their time, and spans, the small
+    side, are listed under each part. A span lists its length over ``bin_minutes`` bins.
     """
     seconds = bin_minutes * 60
 
@@ -180,12 +194,15 @@ def events_in_spans(events: DataFrame, spans: DataFrame, bin_minutes: int) -> Da
         return F.floor(F.unix_seconds(ts) / F.lit(seconds))
 
     last = F.floor((F.unix_micros(F.col("window_end")) - 1) / F.lit(seconds * 1_000_000))
-    listed = spans.withColumn(
-        "_bin", F.explode(F.sequence(bin_of(F.col("window_start")), last))
+    every_split = F.sequence(F.lit(0).cast("bigint"), F.lit(splits - 1).cast("bigint"))
+    listed = spans.withColumn("_bin", F.explode(F.sequence(bin_of(F.col("window_start")), last))).withColumn(
+        "_split", F.explode(every_split)
+    )
+    keyed = events.withColumns(
+        {"_bin": bin_of(F.col("ts")), "_split": F.pmod(F.xxhash64("ts"), F.lit(splits).cast("bigint"))}
     )
-    keyed = events.withColumn("_bin", bin_of(F.col("ts")))
     return (
-        keyed.join(listed, ["region", "_bin"], "inner")
+        keyed.join(listed, ["region", "_bin", "_split"], "inner")
         .where((F.col("ts") >= F.col("window_start")) & (F.col("ts") < F.col("window_end")))
-        .drop("_bin")
+        .drop("_bin", "_split")
     )

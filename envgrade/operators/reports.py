@@ -398,27 +398,15 @@ def inheritance_witness(records: DataFrame) -> DataFrame:
     A region whose consecutive windows differ is a region with two tiers, so
     minima and maxima decide all three questions without ordering a region.
     """
-    lo, hi = F.min("provenance_tier"), F.max("provenance_tier")
-
-    def differing(key: str, name: str) -> DataFrame:
-        groups = records.groupBy(key).agg((lo != hi).alias("_d"))
-        return groups.agg(F.count_if("_d").alias("n")).select(F.lit(name).alias("what"), "n")
-
-    tiers = records.agg(F.count_distinct("provenance_tier").alias("n")).select(
-        F.lit("tiers").alias("what"), "n"
-    )
-    stacked = tiers.unionByName(differing("region", "regions")).unionByName(
-        differing("window_start", "windows")
-    )
-    one = stacked.agg(
-        *[
-            F.max(F.when(F.col("what") == w, F.col("n"))).alias(name)
-            for w, name in (
-                ("tiers", "tiers"),
-                ("regions", "regions_that_change"),
-                ("windows", "windows_with_contrast"),
-            )
-        ]
+    ends = records.groupingSets([["region"], ["window_start"], []], "region", "window_start").agg(
+        F.min("provenance_tier").alias("lo"), F.max("provenance_tier").alias("hi"), F.grouping_id().alias("by")
+    )
+    # Bits of the columns left out: 1 groups by region, 2 by window, 3 by nothing.
+    differ, count = F.col("lo") != F.col("hi"), F.when(F.col("lo") == F.col("hi"), 1).otherwise(2)
+    one = ends.agg(
+        F.coalesce(F.max(F.when((F.col("by") == 3) & F.col("lo").isNotNull(), count)), F.lit(0)).cast("bigint").alias("tiers"),
+        F.count_if((F.col("by") == 1) & differ).alias("regions_that_change"),
+        F.count_if((F.col("by") == 2) & differ).alias("windows_with_contrast"),
     )
     return one.withColumn(
         "can_expose",

@@ -455,7 +455,7 @@ ORACLE: dict[str, str] = {
         round(median(pm) FILTER (pm < 0), 10) AS median_negative FROM st GROUP BY ROLLUP (city)"""),
     "a_24_bias_table": sql([*ALL, BIAS], f"""SELECT city, covered, flagged, {r('sm', 'station_median')}, {r('mm', 'model_median')}, {r('tm', 'tolerance_median')},
         round(CASE WHEN sm <> 0 THEN (mm - sm) / sm * 100e0 END, 10) AS model_bias_pct, round(CASE WHEN sm <> 0 THEN tm / sm END, 10) AS tolerance_over_station,
-        round(CAST(flagged AS DOUBLE) / covered, 10) AS flag_rate FROM bias"""),
+        round(CAST(flagged AS DOUBLE) / nullif(covered, 0), 10) AS flag_rate FROM bias"""),
     "a_25_difference_quartiles": sql(ALL, "SELECT city, count(*) AS n, " + ", ".join(
         [r(f"quantile_cont({x}, {p})", f"{name}_{q}") for x, name in (("diff", "diff"), ("tol", "tolerance")) for q, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("max", 1.0))]
         + [r("median(diff / tol)", "ratio_median"), r("max(diff / tol)", "ratio_max")]) + " FROM cov GROUP BY 1"),

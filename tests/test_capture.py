@@ -168,3 +168,12 @@ def test_normals_are_means_of_city_means(spark):
     assert R.months_without_values(daily).count() == 11
     with pytest.raises(ValueError):
         R.check_months(daily)
+
+
+def test_drift_by_location_leaves_out_locations_of_one_capture(spark):
+    from envgrade.operators.capture import drift_by_location
+
+    first = spark.createDataFrame([(1, 10), (2, 20), (3, 30), (1, 10)], "location_id long, sensor_id long")
+    second = spark.createDataFrame([(1, 10), (2, 21), (4, 40)], "location_id long, sensor_id long")
+    got = {tuple(r) for r in drift_by_location(first, second).select("location_id", "sensor_id", "only_in").collect()}
+    assert got == {(2, 20, "first"), (2, 21, "second")}

@@ -80,3 +80,13 @@ def test_values_are_shuffled_with_their_group_split(data):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(_g" in plan and "_v" in plan.split("hashpartitioning(_g", 1)[1][:60]
     assert "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("low, high", [(20.0, 20.01), (1013.0, 1013.5), (0.0, 0.0005), (-7.0, -7.0)])
+def test_narrow_ranges_are_exact(spark, low, high):
+    rng = random.Random(8)
+    values = [rng.uniform(low, high) for _ in range(5000)]
+    df = spark.createDataFrame([("g", v) for v in values], "g string, v double").repartition(5)
+    row = exact_percentiles(df, ["g"], "v", {"a": 0.1, "m": 0.5, "z": 0.99}).first()
+    for name, p in (("a", 10), ("m", 50), ("z", 99)):
+        assert row[name] == pytest.approx(np.percentile(values, p), rel=1e-13, abs=1e-13)
