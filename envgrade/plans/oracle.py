@@ -460,7 +460,7 @@ ORACLE: dict[str, str] = {
         [r(f"quantile_cont({x}, {p})", f"{name}_{q}") for x, name in (("diff", "diff"), ("tol", "tolerance")) for q, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("max", 1.0))]
         + [r("median(diff / tol)", "ratio_median"), r("max(diff / tol)", "ratio_max")]) + " FROM cov GROUP BY 1"),
     "a_26_zero_model_passes": sql([*ALL, BIAS], f"SELECT city, {r('sm', 'station_median')}, {r(TOLERANCE.format(o='sm'), 'tolerance_at_median')}, abs(sm) <= {TOLERANCE.format(o='sm')} AS zero_model_passes FROM bias"),
-    "a_27_verdicts": sql(ALL, """SELECT covered, flagged, round(CAST(flagged AS DOUBLE) / covered, 10) AS flag_rate,
+    "a_27_verdicts": sql(ALL, """SELECT covered, flagged, round(CAST(flagged AS DOUBLE) / nullif(covered, 0), 10) AS flag_rate,
         CASE WHEN covered < 200 THEN 'NOT_EVALUABLE' WHEN CAST(flagged AS DOUBLE) / covered > 0.01 AND CAST(flagged AS DOUBLE) / covered < 0.33 THEN 'DISCRIMINATES' ELSE 'UNINFORMATIVE' END AS discrimination,
         CASE WHEN flagged > 0 THEN 'EVALUABLE' ELSE 'NOT_EVALUABLE' END AS reporting
         FROM (SELECT count(*) AS covered, count(*) FILTER (state = 'DISAGREED') AS flagged FROM cov)"""),
