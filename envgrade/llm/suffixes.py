@@ -253,20 +253,25 @@ def covered_runs(texts: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     small_batches(spark)
     counts = texts.select("body").mapInArrow(_count_buckets, "key long, runs long")
-    shared = counts.groupBy("key").agg(F.sum("runs").alias("runs")).where("runs > 1").select("key")
+    # Names of shared buckets are written down, so that the join below has two plain inputs and adaptive
+    # execution can split a bucket that holds a large part of all runs. So are the tables after it.
+    shared = cut(counts.groupBy("key").agg(F.sum("runs").alias("runs")).where("runs > 1").select("key"), "shared")
     runs = texts.mapInArrow(
         _list_runs, "ord long, crc long, key long, text long, start long, n long, again boolean"
     ).join(shared, "key")
     runs = cut(runs, "runs")
     release(spark)
-    contents = runs.groupBy("key", "text").agg(F.min("ord").alias("first"))
-    kinds = contents.groupBy("key").agg(F.count("*").alias("kinds"))
-    judged = runs.join(contents.join(kinds, "key"), ["key", "text"]).withColumn(
-        "whole", F.expr("again or ord > first")
+    contents = cut(runs.groupBy("key", "text").agg(F.min("ord").alias("first")), "contents")
+    kinds = cut(contents.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1"), "kinds")
+    whole = F.expr("again or ord > first")
+    judged = cut(
+        runs.join(contents, ["key", "text"]).select(
+            "ord", "crc", F.when(~whole, F.col("key")).alias("key"), "start", "n", whole.alias("whole")
+        ),
+        "judged",
     )
-    judged = cut(judged.where("whole or kinds > 1").select("ord", "crc", "key", "start", "n", "whole", "kinds"), "judged")
     release(spark)
-    wanted = judged.where("not whole").groupBy("ord", "crc").agg(
+    wanted = judged.where("not whole").join(kinds, "key").groupBy("ord", "crc").agg(
         F.collect_list(F.struct("key", "start", "n", (F.col("kinds") > BUCKET_RUNS).alias("large"))).alias("wanted")
     )
     fetched = cut(
