@@ -7,6 +7,7 @@ from envgrade.llm.jaccard import op10_jaccard
 from envgrade.llm.mtree import ORACLE_SQL as TOP_K_SQL
 from envgrade.llm.mtree import op3_top_k
 from envgrade.llm.neardup import op6_neardup
+from envgrade.llm.oracle import NEAR_TEXTS, NEAR_VECTORS, PERSONAL
 from envgrade.llm.packing import op8_packing
 from envgrade.llm.pii import op5_pii
 from envgrade.llm.sharding import op1_sharding
@@ -27,4 +28,11 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_jaccard": op10_jaccard,
 }
-ORACLE: dict[str, str] = {"op3_top_k": TOP_K_SQL, "op7_warc": WARC_SQL}
+ORACLE: dict[str, str] = {
+    "op3_top_k": TOP_K_SQL,
+    # On these tables no text holds the added kinds, so all spans are base spans.
+    "op5_pii": PERSONAL,
+    "op6_neardup": NEAR_VECTORS,
+    "op7_warc": WARC_SQL,
+    "op10_jaccard": NEAR_TEXTS,
+}
