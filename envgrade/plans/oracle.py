@@ -347,6 +347,12 @@ ORACLE: dict[str, str] = {
         UNION ALL {_unpivot('validity_gate', 'tally', ['returned', 'retained', *GATE_TALLY_COLUMNS])}
         UNION ALL {_unpivot('sensor_resolution', 'res', ['locations_admitted', 'resolved', 'refused', 'no_pm25_sensor', 'none_covering_window', 'ambiguous_multiple_covering'])}
         UNION ALL SELECT 'off_hour_by_city', city, count(*), NULL FROM gh WHERE reason LIKE 'period_%' GROUP BY city""").replace("\n, tally", ", tally"),
+    "k_10_capture_run": sql([BASE, HOURS], """, sound AS (SELECT *, event_id % 37 <> 0 AND ((event_id % 41 = 0 AND observed <> 2) OR (observed = 1 AND event_id % 43 = 0)) AS conflict FROM gh),
+        once AS (SELECT station_id, starts FROM kept GROUP BY 1, 2 HAVING count(*) = 1),
+        n AS (SELECT count(*) AS n FROM sound SEMI JOIN once USING (station_id, starts) WHERE reason = 'retained' AND NOT conflict),
+        rows("window", outcome, fault) AS (VALUES ('month', 'void', 'CaptureFault'), ('month', 'kept', NULL), ('first_half', 'void', 'WindowViolation'))
+        SELECT r."window", outcome, fault, CASE WHEN outcome = 'kept' THEN n.n ELSE 0 END AS station_rows,
+          CASE WHEN outcome = 'kept' THEN (SELECT count(*) FROM sat) ELSE 0 END AS model_rows, n.n AS readable_rows FROM rows r, n""").replace("\n, sound", ", sound"),
     # gate
     "p_01_validate_envelopes": sql([BASE, MESSAGES], "SELECT event_id, claimed_type, reason_code FROM msg"),
     "p_02_validate_weather": _payload("weather", ", ".join([_ok("value / 10e0", "temperature_c"), _ok("k / 4e0", "rainfall_mm"), _ok("k / 10e0", "wind_speed_ms")])),

@@ -21,7 +21,7 @@ SELECTED = (
     "a_23_negative_profile", "a_25_difference_quartiles", "a_37_nearest_rank", "a_41_windows_lost_without",
     "w_02_first_admitted_value", "x_06_station_radius", "t_01_stream_windows",
     "s_08_union_sources", "k_01_upsert_records", "k_04_current_records", "k_04_compact_records", "k_05_region_series",
-    "k_07_write_quarantine", "k_08_verify_snapshot", "j_04_event_to_record", "j_09_cities_without_rows",
+    "k_07_write_quarantine", "k_08_verify_snapshot", "k_10_capture_run", "j_04_event_to_record", "j_09_cities_without_rows",
     "j_10_instrument_drift", "a_24_bias_table", "a_27_verdicts", "a_29_calls_by_status", "a_31_monthly_normals",
     "a_32_station_population", "w_03_inheritance_witness", "l_01_ordered_records", "u_03_sensor_difference",
     "x_10_record_json", "t_02_stream_index", "t_04_late_rows", "t_06_replay", "t_07_stream_reconcile",
