@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envgrade.llm.common import content, table
+from envgrade.llm.common import table
 
 # Kinds in the order that breaks ties between spans with one start.
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
