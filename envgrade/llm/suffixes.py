@@ -214,11 +214,15 @@ def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         order = np.argsort(name, kind="stable")
         ids, crcs = np.asarray(rows["ord"]), np.asarray(rows["crc"])
         sorted_name, owner = name[order], run[order]
-        group = np.flatnonzero(np.r_[True, sorted_name[1:] != sorted_name[:-1]])
+        place = (np.asarray(rows["start"])[run] + nth)[order]
+        changed = sorted_name[1:] != sorted_name[:-1]
+        group = np.flatnonzero(np.r_[True, changed])
         lowest = np.repeat(ids[owner[group]], np.diff(np.r_[group, len(order)]))
-        before = np.r_[False, (sorted_name[1:] == sorted_name[:-1]) & (ids[owner[1:]] == ids[owner[:-1]])
-                       & (crcs[owner[1:]] == crcs[owner[:-1]])]
-        hit = np.sort(order[(ids[owner] > lowest) | before])
+        # Repeated rows bring a string of one place more than once; only a later place is a repeat.
+        own = np.flatnonzero(np.r_[True, changed | (ids[owner[1:]] != ids[owner[:-1]])
+                                   | (crcs[owner[1:]] != crcs[owner[:-1]])])
+        first_place = np.repeat(np.minimum.reduceat(place, own), np.diff(np.r_[own, len(order)]))
+        hit = np.sort(order[(ids[owner] > lowest) | (place > first_place)])
         return _covered(rows, run[hit], nth[hit])
 
     for batch in _slices(batches, 2048):
@@ -272,7 +276,7 @@ def covered_runs(texts: DataFrame) -> DataFrame:
     )
     release(spark)
     wanted = judged.where("not whole").join(kinds, "key").groupBy("ord", "crc").agg(
-        F.collect_list(F.struct("key", "start", "n", (F.col("kinds") > BUCKET_RUNS).alias("large"))).alias("wanted")
+        F.collect_set(F.struct("key", "start", "n", (F.col("kinds") > BUCKET_RUNS).alias("large"))).alias("wanted")
     )
     fetched = cut(
         texts.join(wanted, ["ord", "crc"]).select("ord", "crc", "body", "wanted").mapInArrow(
@@ -319,7 +323,9 @@ def _kept(body: bytes, spans: np.ndarray) -> bytes:
 
 
 def _with_runs(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    lists = covered_runs(texts).groupBy("ord", "crc").agg(
+    # Once per place, or the lists of a row repeated k times would be k times as long, for each of the k.
+    places = covered_runs(texts).groupBy("ord", "crc", "start").agg(F.max("n").alias("n"))
+    lists = places.groupBy("ord", "crc").agg(
         F.collect_list("start").alias("starts"), F.collect_list("n").alias("counts")
     )
     release(texts.sparkSession)

@@ -54,6 +54,40 @@ def test_equals_a_plain_search(spark, monkeypatch, bucket_runs):
     assert got == plain(rows)
 
 
+@pytest.mark.parametrize("bucket_runs", [1 << 15, 2])
+@pytest.mark.parametrize("doc_id", [5, None])
+@pytest.mark.parametrize("shared", [24, 99])
+def test_repeated_rows_keep_bytes_found_nowhere_else(spark, monkeypatch, bucket_runs, doc_id, shared):
+    """Equal rows around a passage shared with another document, too short to be removed."""
+    monkeypatch.setattr(suffixes, "BUCKET_RUNS", bucket_runs)
+    draw = random.Random(shared)
+
+    def prose(n):
+        return "".join(draw.choice("abcdefgh ") for _ in range(n))
+
+    passages, own = [prose(shared) for _ in range(8)], prose(120)
+    text = "".join(f"{prose(120)}<{p}>" for p in passages) + f"1{own}2{prose(40)}3{own}4"
+    rows = [(doc_id, text)] * 3 + [(9, "".join(f"{prose(120)}[{p}]" for p in passages))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(
+        ((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in repeats(docs).collect()), key=repr
+    )
+    assert got == plain(rows)
+    assert sorted(r[2] for r in got) == [0, 120, 120, 120]
+
+
+def test_lists_do_not_grow_with_repeated_rows(spark):
+    draw = random.Random(6)
+    part = "".join(draw.choice("abcdefgh ") for _ in range(150))
+    text = part + "x" + part[:140] + "y" + part
+    frames = [spark.createDataFrame([(1, text)] * k, "doc_id long, text string") for k in (1, 20)]
+    sizes = []
+    for docs in frames:
+        texts = suffixes._texts(docs, "doc_id", "text")
+        sizes.append({len(r["starts"]) for r in suffixes._with_runs(texts, texts).collect()})
+    assert sizes[0] == sizes[1] and len(sizes[0]) == 1
+
+
 def test_small_pieces_and_sorts(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "PIECE_BYTES", 64)
     monkeypatch.setattr(suffixes, "CHUNK_BYTES", 500)
