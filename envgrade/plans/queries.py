@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -998,21 +998,37 @@ def _(spark, d):
 PER_PART = 4
 
 
-def _timed_messages(spark: SparkSession, d: str, parts) -> str:
-    """A folder of message files, faults included: PER_PART files for each span of time, span by span.
+def _in_span(low, high) -> Column:
+    """Rows of a span; the month's first is open below, its last open above and with rows that have no time."""
+    ts, last = F.col("ts"), high >= I.WHOLE_MONTH.end
+    after = F.lit(True) if low <= I.WHOLE_MONTH.start else ts >= F.lit(low)
+    inside = after & (F.lit(True) if last else ts < F.lit(high))
+    return F.when(ts.isNull(), F.lit(last)).otherwise(inside)
 
-    The order matters: were a later span read first, the watermark would make the others late.
+
+def _timed_messages(spark: SparkSession, d: str, parts) -> tuple[str, int]:
+    """A folder of message files, faults included, span of time by span of time, and the number of files of each.
+
+    The order matters: were a later span read first, the watermark would make the others late. For the same reason a
+    span is read in one batch. So all have the same number of files: as many as the table has partitions, PER_PART
+    at least, and empty ones where a span has too few rows.
     """
     path = scratch_path(spark, "messages")
     rows = I.table(spark, d, "events")
-    for low, high in parts:
-        part = rows.where((F.col("ts") >= F.lit(low)) & (F.col("ts") < F.lit(high)))
-        I.messages_of(part).select("value").repartition(PER_PART).write.mode("append").text(path)
-    return path
-
-
-def _read_messages(spark: SparkSession, path: str) -> DataFrame:
-    return EV.read_envelopes(spark, path, streaming=True, options={"maxFilesPerTrigger": str(PER_PART)})
+    files = max(PER_PART, rows.rdd.getNumPartitions())
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for i, (low, high) in enumerate(parts, 1):
+        part = rows.where(_in_span(low, high))
+        I.messages_of(part).select("value").repartition(files).write.mode("append").text(path)
+        for k in range(len(spark.read.text(path).inputFiles()), i * files):
+            fs.create(spark._jvm.org.apache.hadoop.fs.Path(folder, f"part-none-{i}-{k}.txt")).close()
+    return path, files
+
+
+def _read_messages(spark: SparkSession, source: tuple[str, int]) -> DataFrame:
+    path, files = source
+    return EV.read_envelopes(spark, path, streaming=True, options={"maxFilesPerTrigger": str(files)})
 
 
 def _listened(spark: SparkSession, run) -> DataFrame:
