@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from envgrade.llm.licenses import BASE, LOWER, NOTICES, UPPER
+
 USABLE = "len(embedding) > 0 and len([x for x in embedding if x is null or not isfinite(x)]) = 0"
 
 NEAR_VECTORS = f"""
@@ -78,3 +80,34 @@ select *, sha256(spans) as base_sha256 from g
 
 
 PERSONAL = _spans_sql()
+
+
+def _licences_sql() -> str:
+    """All starts at which a template's mandatory phrases stand, by trying every word of every text."""
+    found = []
+    for kind, group in (("base", BASE), ("notice", NOTICES)):
+        for t in group:
+            stands = " and ".join(f"w[o + {at + 1} : o + {at + len(p)}] = {p!r}" for at, p in t.phrases())
+            first = t.phrases()[0][1]
+            share = f"len([t for t in range({len(t.words)}) if w[o + t + 1] = {t.words!r}[t + 1]]) / {float(len(t.words))}"
+            found.append(f"""
+  select doc_id, '{t.label}' as label, '{kind}' as kind, o, {share} as share from (
+    select doc_id, w, unnest([o for o in range(len(w)) if {stands}]) as o from words where list_contains(w, '{first[0]}'))""")
+    return f"""
+with words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents),
+p as ({" union all ".join(found)}),
+g as (
+  select doc_id, count(*) filter (kind = 'base') as n_base, min(o) filter (kind = 'base') as first_word,
+    max(o) filter (kind = 'base') as last_word, array_to_string(list_sort(list(distinct label)), ',') as labels,
+    coalesce(array_to_string(list_sort(list(distinct label) filter (kind = 'base')), ','), '') as base_labels,
+    max(share) as score
+  from p group by doc_id)
+select words.doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+  coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0) as score
+from words left join g on g.doc_id = words.doc_id
+"""
+
+
+LICENCES = _licences_sql()

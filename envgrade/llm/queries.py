@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from envgrade.llm.bpe import op2_bpe
 from envgrade.llm.jaccard import op10_jaccard
+from envgrade.llm.licenses import op11_licenses
 from envgrade.llm.mtree import ORACLE_SQL as TOP_K_SQL
 from envgrade.llm.mtree import op3_top_k
 from envgrade.llm.neardup import op6_neardup
-from envgrade.llm.oracle import NEAR_TEXTS, NEAR_VECTORS, PERSONAL
+from envgrade.llm.oracle import LICENCES, NEAR_TEXTS, NEAR_VECTORS, PERSONAL
 from envgrade.llm.packing import op8_packing
 from envgrade.llm.pii import op5_pii
 from envgrade.llm.sharding import op1_sharding
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_jaccard": op10_jaccard,
+    "op11_licenses": op11_licenses,
 }
 ORACLE: dict[str, str] = {
     "op3_top_k": TOP_K_SQL,
@@ -35,4 +37,5 @@ ORACLE: dict[str, str] = {
     "op6_neardup": NEAR_VECTORS,
     "op7_warc": WARC_SQL,
     "op10_jaccard": NEAR_TEXTS,
+    "op11_licenses": LICENCES,
 }
