@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from envgrade.llm.bpe import op2_bpe
+from envgrade.llm.conversations import op13_conversations
 from envgrade.llm.jaccard import op10_jaccard
 from envgrade.llm.licenses import op11_licenses
 from envgrade.llm.mtree import ORACLE_SQL as TOP_K_SQL
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_jaccard": op10_jaccard,
     "op11_licenses": op11_licenses,
+    "op13_conversations": op13_conversations,
 }
 ORACLE: dict[str, str] = {
     "op3_top_k": TOP_K_SQL,
