@@ -13,6 +13,7 @@ from envgrade.llm.oracle import LICENCES, NEAR_TEXTS, NEAR_VECTORS, PERSONAL
 from envgrade.llm.packing import op8_packing
 from envgrade.llm.pii import op5_pii
 from envgrade.llm.sharding import op1_sharding
+from envgrade.llm.spelling import op12_spelling
 from envgrade.llm.suffixes import op4_suffix_dedup
 from envgrade.llm.toxicity import op9_toxicity
 from envgrade.llm.warc import ORACLE_SQL as WARC_SQL
@@ -30,6 +31,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_jaccard": op10_jaccard,
     "op11_licenses": op11_licenses,
+    "op12_spelling": op12_spelling,
     "op13_conversations": op13_conversations,
 }
 ORACLE: dict[str, str] = {
