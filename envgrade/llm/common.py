@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(df: DataFrame, label: str) -> DataFrame:
+    """The rows with a number ``row`` of their own, written down once, so that every reader sees the same."""
+    return cut(df.withColumn("row", F.monotonically_increasing_id()), label)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Hand rows to Python tasks in batches that stay small where rows are whole texts or sets."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

@@ -11,9 +11,10 @@ opened, an entry whose stored parent distance already rules it out is never comp
 ranks and ties are exact while they stay below 2^53. The best k of all blocks meet in a ranked window of which
 each task sends k rows per query at most.
 
-Rows: vectors that are null, empty or hold null or non-finite components take no part, nor do rows with a null id;
-of rows that repeat an id, the smallest vector counts; vectors of different lengths are never compared; an
-empty table gives no rows; other columns are ignored.
+Rows: vectors that are null, empty or hold null or non-finite components take no part. Every other row is a candidate,
+its own query's aside: rows are told apart by a number written down once, so that rows that repeat an id all count, and
+each of them that is a query gets its own k. A null id comes after all others in ties. Vectors of different lengths
+are never compared; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envgrade.llm.common import cut, table
+from envgrade.llm.common import numbered, table
 
 BLOCK_ROWS = 8192
 QUERY_ROWS = 4096
@@ -146,16 +147,15 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 def top_k(
     vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "vector"
 ) -> DataFrame:
-    """For the rows that ``queries`` selects: query_id, rank, vec_id and score of their k best among all other rows.
+    """For the rows that ``queries`` selects: query_id, rank, vec_id, score and query_row of their k best among all other rows.
 
     ``vector`` is an array of integers; ``queries`` is a condition on the column ``vec_id``.
     """
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    rows = rows.where(F.col("vec_id").isNotNull() & usable("vector"))
-    rows = cut(rows.groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
+    rows = numbered(rows.where(usable("vector")), "vectors")
     n, n_queries = rows.agg(F.count("*"), F.count_if(queries)).first()
     blocks, query_blocks = max(1, -(-n // BLOCK_ROWS)), max(1, -(-n_queries // QUERY_ROWS))
-    spot = F.xxhash64("vec_id")
+    spot = F.xxhash64("row")
     keyed = rows.withColumns({
         "dim": F.size("vector"), "block": F.pmod(spot, F.lit(blocks)),
         "query_block": F.pmod(spot, F.lit(query_blocks)),
@@ -167,38 +167,45 @@ def top_k(
     key = ["dim", "block", "query_block"]
 
     def run(mine: pa.Table, theirs: pa.Table) -> pa.Table:
-        out = {"query_id": [], "vec_id": [], "score": []}
+        out = {c: [] for c in ("query_id", "query_row", "vec_id", "row", "score")}
         if mine.num_rows and theirs.num_rows:
-            tree = MTree(np.asarray(mine["vec_id"]), _matrix(mine["vector"]))
-            for query_id, query in zip(theirs["vec_id"].to_pylist(), _matrix(theirs["vector"])):
-                for score, vec_id in tree.search(query_id, query, k):
-                    out["query_id"].append(query_id)
-                    out["vec_id"].append(vec_id)
-                    out["score"].append(score)
+            # In order of ids, so that the smaller place is the smaller id.
+            mine = mine.sort_by([("vec_id", "ascending"), ("row", "ascending")])
+            ids, rows_ = mine["vec_id"].to_pylist(), mine["row"].to_pylist()
+            own = {row: place for place, row in enumerate(rows_)}
+            tree = MTree(np.arange(len(ids)), _matrix(mine["vector"]))
+            asked = zip(theirs["vec_id"].to_pylist(), theirs["row"].to_pylist(), _matrix(theirs["vector"]))
+            for query_id, query_row, query in asked:
+                for score, place in tree.search(own.get(query_row, -1), query, k):
+                    for c, v in zip(out, (query_id, query_row, ids[place], rows_[place], score)):
+                        out[c].append(v)
         return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
 
-    found = data.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(run, "query_id long, vec_id long, score long")
+    found = data.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(
+        run, "query_id long, query_row long, vec_id long, row long, score long"
+    )
+    best = "row_number() over (partition by query_row order by score desc, vec_id nulls last, row)"
     return (
-        found.withColumn("rank", F.expr("row_number() over (partition by query_id order by score desc, vec_id)"))
-        .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        found.withColumn("rank", F.expr(best)).where(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score", "query_row")
     )
 
 
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").where(usable("embedding"))
     scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
-    return top_k(rows.select("vec_id", scaled.alias("vector")), F.col("vec_id") % 50 == 0)
+    return top_k(rows.select("vec_id", scaled.alias("vector")), F.col("vec_id") % 50 == 0).drop("query_row")
 
 
 ORACLE_SQL = """
 with v as (
-  select vec_id, [floor(256 * cast(x as double)) for x in embedding] as e from embeddings
-  where vec_id is not null and len(embedding) > 0
+  select vec_id, row_number() over () as r, [floor(256 * cast(x as double)) for x in embedding] as e from embeddings
+  where len(embedding) > 0
     and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
 s as (
-  select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
-  from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id)
-select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+  select q.r as query_row, q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
+  from v q join v c on q.vec_id % 50 = 0 and q.r <> c.r and len(q.e) = len(c.e))
+select query_id, cast(row_number() over (partition by query_row order by score desc, vec_id) as integer) as rank,
   vec_id, score
 from s qualify rank <= 5
 """

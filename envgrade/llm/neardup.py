@@ -11,9 +11,9 @@ again in double precision. A tile pair gives sums of links and a spanning forest
 Components follow from the forests by distributed rounds.
 
 Rows: vectors that are null, empty, zero or hold null or non-finite components link with nothing; vectors of
-different lengths do not link; of rows that repeat an id, the smallest vector counts, and one row is returned; rows
-with a null id link with nothing and give one row with a null component; an empty table gives no rows; other
-columns are ignored.
+different lengths do not link. Rows are told apart by a number written down once: one row is returned for each, those
+that repeat an id or have none included. A component is named by the smallest id in it, null where none has an id; a row
+without an id is kept only there. An empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envgrade.llm.common import components, cut, table
+from envgrade.llm.common import components, cut, numbered, table
 from envgrade.llm.mtree import _matrix, usable
 
 TILE_ROWS = 8192
@@ -85,26 +85,21 @@ def compare_tiles(a, b, a_copies, b_copies, same: bool, threshold: float):
 def near_duplicates(
     vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
-    """One row per vec_id: n_links, component_id and kept."""
+    """One row per vector: vec_id, n_links, component_id and kept."""
     every = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    every = every.withColumn(
-        "vector", F.when(usable("vector") & F.expr("exists(vector, x -> x <> 0)") & F.col("vec_id").isNotNull(), F.col("vector"))
-    )
-    rows = cut(
-        every.groupBy("vec_id").agg(F.min("vector").alias("vector"))
-        .withColumns({"k1": F.xxhash64("vector"), "k2": F.xxhash64(F.lit(1), "vector")}),
-        "vectors",
-    )
+    sound = usable("vector") & F.expr("exists(vector, x -> x <> 0)")
+    every = every.withColumn("vector", F.when(sound, F.col("vector")))
+    rows = numbered(every.withColumns({"k1": F.xxhash64("vector"), "k2": F.xxhash64(F.lit(1), "vector")}), "vectors")
     classes = (
         rows.where("vector is not null").groupBy("k1", "k2")
-        .agg(F.min("vec_id").alias("class_id"), F.count("*").alias("copies"))
+        .agg(F.min("row").alias("class_id"), F.min("vec_id").alias("least"), F.count("*").alias("copies"))
     )
     classes = cut(classes, "classes")
     n = classes.count()
     tiles = max(1, -(-n // TILE_ROWS))
-    held = rows.join(classes.select(F.col("class_id").alias("vec_id"), "copies"), "vec_id").select(
-        F.col("vec_id").alias("class_id"), "copies", "vector", F.size("vector").alias("dim"),
-        F.pmod(F.xxhash64("vec_id"), F.lit(tiles)).alias("tile"),
+    held = rows.join(classes.select(F.col("class_id").alias("row"), "copies"), "row").select(
+        F.col("row").alias("class_id"), "copies", "vector", F.size("vector").alias("dim"),
+        F.pmod(F.xxhash64("row"), F.lit(tiles)).alias("tile"),
     )
     # Tile t meets every tile: as the left one up to the last, as the right one from the first.
     left = held.withColumns({"a": F.col("tile"), "b": F.explode(F.sequence("tile", F.lit(tiles - 1).cast("long")))})
@@ -134,11 +129,14 @@ def near_duplicates(
     per_class = (
         classes.join(sums, "class_id", "left")
         .join(roots.select(F.col("id").alias("class_id"), "root"), "class_id", "left")
-        .select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        .select("k1", "k2", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                 F.coalesce("root", "class_id").alias("root"))
     )
+    named = per_class.groupBy("root").agg(F.min("least").alias("component_id"))
+    per_class = cut(per_class.join(named, "root").select("k1", "k2", "n_links", "component_id"), "per_class")
+    kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull())
     return rows.where("vector is not null").select("vec_id", "k1", "k2").join(per_class, ["k1", "k2"]).select(
-        "vec_id", "n_links", F.col("root").alias("component_id"), (F.col("vec_id") == F.col("root")).alias("kept")
+        "vec_id", "n_links", "component_id", kept.alias("kept")
     ).union(
         rows.where("vector is null").select(
             "vec_id", F.lit(0).cast("long"), F.col("vec_id"), F.lit(True)

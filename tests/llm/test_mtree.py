@@ -6,13 +6,14 @@ from envgrade.llm.mtree import MTree, op3_top_k
 
 
 def _plain(rows, k=5):
-    rows = sorted(rows)
+    """Every row that is a query against every other row, repeated ids included; a null id is the last of a tie."""
     out = []
-    for q, x in rows:
-        if q % 50 == 0:
-            best = sorted((-int(np.dot(x, y)), c) for c, y in rows if c != q and len(y) == len(x))[:k]
-            out += [(q, rank, c, -s) for rank, (s, c) in enumerate(best, 1)]
-    return sorted(out)
+    for i, (q, x) in enumerate(rows):
+        if q is not None and q % 50 == 0:
+            others = [(c, y) for j, (c, y) in enumerate(rows) if j != i and len(y) == len(x)]
+            best = sorted((-int(np.dot(x, y)), c is None, c or 0) for c, y in others)[:k]
+            out += [(q, rank, None if none else c, -s) for rank, (s, none, c) in enumerate(best, 1)]
+    return sorted(out, key=repr)
 
 
 @pytest.mark.parametrize("spread", [1, 5, 200])
@@ -46,11 +47,17 @@ def test_query_in_blocks(spark, write_tables, monkeypatch):
     table = [(i, [float(v) for v in x], "?") for i, x in rows]
     table += [(1000, None, "?"), (1050, [], "?"), (1100, [1.0, None, 2.0, 3.0, 4.0, 5.0], "?"), (None, [1.0] * 6, "?"),
               (1150, [float("nan")] + [1.0] * 5, "?"), (1200, [float("inf")] + [1.0] * 5, "?"), (1250, [0.0] * 6, "?")]
-    table += table[:50]
+    table += table[:51] + [(100, [9.0] * 6, "?"), (100, [9.0] * 5, "?"), (None, [1.0] * 6, "?")]
     df = spark.createDataFrame(table, "vec_id long, embedding array<double>, score string")
-    got = sorted(tuple(r) for r in op3_top_k(spark, write_tables(embeddings=df)).collect())
-    usable = [(i, np.floor(256 * np.array(x)).astype(int)) for i, x in rows] + [(1250, np.zeros(6, int))]
-    assert got == _plain(usable)
+    got = sorted((tuple(r) for r in op3_top_k(spark, write_tables(embeddings=df)).collect()), key=repr)
+    sound = [(i, x) for i, x, _ in table if x and None not in x and np.isfinite(x).all()]
+    assert got == _plain([(i, np.floor(256 * np.array(x)).astype(int)) for i, x in sound])
+
+
+def test_rows_that_repeat_an_id_all_count(spark, write_tables):
+    df = spark.createDataFrame([(1, [5.0, 0.0]), (1, [9.0, 1.0]), (50, [1.0, 0.0])], "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in op3_top_k(spark, write_tables(embeddings=df)).orderBy("rank").collect()]
+    assert got == [(50, 1, 1, 9 * 65536), (50, 2, 1, 5 * 65536)]
 
 
 def test_empty_table(spark, write_tables):
