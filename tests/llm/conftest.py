@@ -1,3 +1,6 @@
+import random
+import zlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +18,7 @@ EDGE_ROWS = [
     (10, "été <|endoftext|> \U0001f600    1234567890123456789012"),
 ]
 # Names that operators use inside or in their results.
-CLASHING = ("score", "shard", "slot", "spans", "ord", "crc", "class", "row", "key", "n", "starts", "counts", "kept", "toxic")
+CLASHING = ("score", "shard", "slot", "spans", "ord", "crc", "class", "row", "key", "n", "starts", "counts", "kept", "toxic", "own", "digest", "doc", "h1", "h2", "name1", "own_id", "plain", "wide", "meta.src", "__own", "__pii_spans")
 
 
 @pytest.fixture(scope="session")
@@ -23,7 +26,7 @@ def edge_docs(spark):
     rows = spark.createDataFrame(EDGE_ROWS, "doc_id long, text string").withColumns(
         {"lang": F.lit("en"), "source": F.lit(None).cast("string"), "n_chars": F.lit(0).cast("long")}
     )
-    return rows.withColumns({c: F.lit("?") for c in CLASHING})
+    return rows.select("*", *[F.lit("?").alias(c) for c in CLASHING])
 
 
 @pytest.fixture(scope="session")
@@ -41,3 +44,18 @@ def write_tables(spark, tmp_path):
         return str(tmp_path)
 
     return write
+
+
+@pytest.fixture(scope="session")
+def one_checksum():
+    """Two texts of one crc32: the first repeats a passage of 150 letters, the second nothing."""
+    draw = random.Random(32)
+    passage = "".join(draw.choice("abcdefghij") for _ in range(150))
+    heads = {}
+    for i in range(1 << 18):
+        for kind, text in (("a", f"{passage} {i} {passage}"), ("b", f"{i} other words stand in this one, {i} of them")):
+            crc = zlib.crc32(text.encode())
+            if heads.get(crc, (kind, ""))[0] != kind:
+                return sorted((text, heads[crc][1]), key=lambda t: passage not in t)
+            heads[crc] = (kind, text)
+    raise AssertionError("no two texts of one checksum")

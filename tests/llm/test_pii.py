@@ -1,4 +1,5 @@
 import re
+import time
 
 from envgrade.llm.pii import find_spans, redact
 
@@ -58,3 +59,23 @@ def test_edge_rows_and_redaction(edge_docs, no_docs):
     assert texts[9] == "write to [EMAIL] or call [PHONE], [IP]"
     assert texts[2] is None and texts[3] == ""
     assert redact(no_docs).count() == 0 and find_spans(no_docs).count() == 0
+
+
+def test_very_many_matches_in_one_text(spark):
+    text = "".join(f"write to user{i}@mail.example.com é 😀 or 10.0.{i % 300}.1; " for i in range(100_000))
+    rows = spark.createDataFrame([(0, text)], "doc_id long, text string")
+    started = time.time()
+    got = [tuple(s)[:3] for s in find_spans(rows).first()["spans"]]
+    masked = redact(rows).first()["text"]
+    assert time.time() - started < 90
+    assert [s for s in got if s[0] in PLAIN] == plain(text)
+    assert masked.count("[EMAIL]") == 100_000 and masked.startswith("write to [EMAIL] é 😀 or [IP]; write")
+
+
+def test_redaction_with_any_column_names(spark):
+    row = ("a@b.example.com", "?", "?", "?", "?", 1)
+    names = ("text", "own", "plain.wide", "spans", "__pii_spans", "reach")
+    df = spark.createDataFrame([row, ("\ufffe and \ufffe", *row[1:])], list(names))
+    out = redact(df)
+    assert out.columns == list(names)
+    assert sorted(tuple(r) for r in out.collect()) == sorted([("[EMAIL]", *row[1:]), ("\ufffe and \ufffe", *row[1:])])
