@@ -24,7 +24,7 @@ from math import ceil, exp, log
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envgrade.llm.common import components, content, cut, release, small_batches, table, utf8
@@ -276,36 +276,39 @@ def _parts(rows: pa.Table):
     return first[small], count[small], large
 
 
+def _digest(body: Column) -> Column:
+    return F.unhex(F.md5(body.cast("binary"))).alias("digest")
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Documents with a checksum; with the id, it tells rows of different texts apart."""
-    body = content(text_col)
-    return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.crc32(body.cast("binary")).alias("crc"), body.alias("text")
-    )
+    """Documents with a digest of 128 bits; with the id, it tells rows of different texts apart."""
+    body = content(F.col(f"`{text_col}`"))
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), _digest(body), body.alias("text"))
 
 
 def described(texts: DataFrame, runs: int) -> DataFrame:
-    """Per row: doc_id, crc, class (name of its set; null if empty), size, sketch, nodes and parents."""
+    """Per row: doc_id, digest, name1 and name2 (128 bits that name its set; null if empty), size, sketch, nodes and parents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in _slices(batches, 1024):
-            out = {c: [] for c in ("class", "size", "sketch", "nodes", "parents")}
+            out = {c: [] for c in ("name1", "name2", "size", "sketch", "nodes", "parents")}
             for text in batch.column(2):
                 s = shingler.shingles(text.as_py())
                 if len(s):
                     nodes, parents = paths(s, runs)
-                    name = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
-                    values = (name, len(s), sketch(s).tobytes(), nodes, parents)
+                    name = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
+                    values = (*name, len(s), sketch(s).tobytes(), nodes, parents)
                 else:
-                    values = (None, 0, None, [], [])
+                    values = (None, None, 0, None, [], [])
                 for c, v in zip(out, values):
                     out[c].append(v)
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()))
             columns = [pa.array(v, k) for v, k in zip(out.values(), kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "crc", *out])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "digest", *out])
 
     return texts.mapInArrow(
-        run, "doc_id long, crc long, class long, size long, sketch binary, nodes array<long>, parents array<int>"
+        run,
+        "doc_id long, digest binary, name1 long, name2 long, size long, sketch binary, nodes array<long>, parents array<int>",
     )
 
 
@@ -372,7 +375,7 @@ def linked_classes(texts: DataFrame, classes: DataFrame, threshold: float) -> Da
     rows = cut(rows, "likely")
     release(spark)
     wanted = rows.select("class").distinct().join(classes.select("class", "rep"), "class").select(
-        "class", F.col("rep.doc_id").alias("doc_id"), F.col("rep.crc").alias("crc")
+        "class", F.col("rep.doc_id").alias("doc_id"), F.col("rep.digest").alias("digest")
     )
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,7 +386,7 @@ def linked_classes(texts: DataFrame, classes: DataFrame, threshold: float) -> Da
 
     # An id may be null, and null-safe equality still joins by key.
     at = texts.alias("t").join(
-        wanted.alias("w"), F.expr("t.doc_id <=> w.doc_id and t.crc = w.crc")
+        wanted.alias("w"), F.expr("t.doc_id <=> w.doc_id and t.digest = w.digest")
     ).select("w.class", "t.text")
     sets = cut(at.mapInArrow(fetch, "class long, shingles binary"), "sets").dropDuplicates(["class"])
 
@@ -423,7 +426,7 @@ def linked_classes(texts: DataFrame, classes: DataFrame, threshold: float) -> Da
 def near_copies(
     docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per document: doc_id, crc, n_links (other documents at the threshold or above), class_id (the smallest
+    """One row per document: doc_id, digest, n_links (other documents at the threshold or above), class_id (the smallest
     doc_id reachable by links, itself included), copy_of (the smallest doc_id with an equal set) and kept
     (true for one row of each class)."""
     small_batches(docs.sparkSession)
@@ -431,12 +434,12 @@ def near_copies(
     rows = cut(
         described(texts, runs_for(recall, threshold)).withColumn("row", F.monotonically_increasing_id()), "described"
     )
-    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "crc", "row")
-    named = rows.where("class is not null").groupBy("class").agg(F.min(first).alias("rep"), F.count("*").alias("copies"))
-    named = cut(named, "classes")
-    classes = named.join(
-        rows.select("row", "size", "sketch", "nodes", "parents"), F.col("rep.row") == F.col("row")
-    ).drop("row")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "row")
+    named = rows.where("name1 is not null").groupBy("name1", "name2").agg(F.min(first).alias("rep"), F.count("*").alias("copies"))
+    # A class is known by the row that stands for it.
+    named = cut(named.withColumn("class", F.col("rep.row")), "classes")
+    classes = named.join(rows.select("row", "size", "sketch", "nodes", "parents"), F.col("class") == F.col("row"))
+    classes = classes.drop("row", "name1", "name2")
     classes = cut(classes, "sketched")
     linked = linked_classes(texts, classes, threshold)
     sums = linked.groupBy("class").agg(F.sum("links").alias("links"))
@@ -447,10 +450,10 @@ def near_copies(
     )
     heads = grouped.groupBy("root").agg(F.min("rep").alias("head"))
     per_class = grouped.join(heads, "root").select(
-        "class", "rep", "head", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        "name1", "name2", "rep", "head", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
-    return rows.select("doc_id", "crc", "class", "row").join(per_class, "class", "left").select(
-        "doc_id", "crc", F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    return rows.select("doc_id", "digest", "name1", "name2", "row").join(per_class, ["name1", "name2"], "left").select(
+        "doc_id", "digest", F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("head.doc_id", "doc_id").alias("class_id"), F.coalesce("rep.doc_id", "doc_id").alias("copy_of"),
         F.coalesce(F.col("head.row") == F.col("row"), F.lit(True)).alias("kept"),
     )
@@ -462,13 +465,15 @@ def first_of_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Rows that repeat both id and text are one document.
     """
     kept = near_copies(docs, id_col=id_col, text_col=text_col).where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("crc").alias("__crc")
+        F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest")
+    )
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.col(f"`{id_col}`").cast("long").alias("own_id"), _digest(content(F.col(f"`{text_col}`"))),
     )
-    own = F.crc32(content(text_col).cast("binary"))
-    keyed = docs.withColumns({"__own": F.col(id_col).cast("long"), "__sum": own})
-    joined = keyed.join(kept, F.expr("__own <=> __id and __sum = __crc"))
-    return joined.dropDuplicates(["__own", "__sum"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    joined = keyed.join(kept, F.expr("own_id <=> kept_id and digest = kept_digest")).dropDuplicates(["own_id", "digest"])
+    return joined.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_copies(table(spark, sf_dir, "documents")).drop("crc")
+    return near_copies(table(spark, sf_dir, "documents")).drop("digest")

@@ -76,3 +76,9 @@ def test_edge_rows(spark, edge_docs, no_docs, write_tables):
     assert kept.columns == edge_docs.columns
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 1, 2, 3, 7, 8, 9, 10]
     assert near_copies(no_docs).count() == 0 and first_of_group(no_docs).count() == 0
+
+
+def test_texts_of_one_checksum_without_ids(spark, one_checksum):
+    rows = spark.createDataFrame([(None, t) for t in one_checksum], "doc_id long, text string")
+    assert sorted(r["text"] for r in first_of_group(rows).collect()) == sorted(one_checksum)
+    assert [r["n_links"] for r in near_copies(rows).collect()] == [0, 0]
