@@ -18,9 +18,9 @@ GRAM-byte substring with the smallest hash; that hash is the name of its bucket.
 
 Names are 64-bit hashes and are only ever compared within a bucket. Lists per document are bounded by its length.
 
-Rows: a null text is empty; a null doc_id sorts before all others; rows that share a doc_id are judged
-each against smaller ids and their own text; an empty table gives no rows; other columns are ignored by
-`repeats` and kept by `remove_repeats`.
+Rows: a null text is empty; a null doc_id sorts before all others; rows that share a doc_id, or have none, are judged
+each against smaller ids and their own text, and told apart by 128 bits of their text; an empty table gives no rows;
+other columns, of any name, are ignored by `repeats` and kept by `remove_repeats`.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envgrade.llm.common import content, cut, release, small_batches, table
@@ -39,6 +39,8 @@ GRAM = 24
 CHUNK_BYTES = 1 << 19
 PIECE_BYTES = 1 << 22
 BUCKET_RUNS = 1 << 15
+# What tells a row: its id as a number that sorts, and two hashes of its text.
+OWN = ["ord", "h1", "h2"]
 SORT_BYTES = 1 << 22
 
 _BYTE = np.random.default_rng(20240101).integers(1, 1 << 62, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -130,13 +132,19 @@ def document_runs(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         yield flush()
 
 
+def _body(text_col: str) -> Column:
+    return content(F.col(f"`{text_col}`")).cast("binary")
+
+
+def _own_key(id_col: str, body: Column) -> list[Column]:
+    order = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63)).cast("long"))
+    return [order.alias("ord"), F.xxhash64(body).alias("h1"), F.xxhash64(F.lit(1), body).alias("h2")]
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Documents with what identifies a row: a sortable id and a checksum of the text."""
-    body = content(text_col).cast("binary")
-    return docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("ord"),
-        F.crc32(body).alias("crc"), body.alias("body"),
-    )
+    """Documents with what identifies a row: a sortable id and two hashes of the text."""
+    body = _body(text_col)
+    return docs.select(*_own_key(id_col, body), body.alias("body"))
 
 
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -154,27 +162,27 @@ def _count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _list_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _slices(batches):
-        ids, crcs = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-        for doc, start, n, bucket, text, again in document_runs(batch.column(2).to_pylist()):
+        own = [np.asarray(batch.column(i)) for i in range(3)]
+        for doc, start, n, bucket, text, again in document_runs(batch.column(3).to_pylist()):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in (ids[doc], crcs[doc], bucket, text, start, n, again)],
-                ["ord", "crc", "key", "text", "start", "n", "again"],
+                [pa.array(c) for c in (*(o[doc] for o in own), bucket, text, start, n, again)],
+                [*OWN, "key", "text", "start", "n", "again"],
             )
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the runs that a document is asked for."""
     for batch in _slices(batches, 64):
-        out = {c: [] for c in ("key", "ord", "crc", "start", "bytes", "large")}
+        out = {c: [] for c in ("key", *OWN, "start", "bytes", "large")}
         for row in batch.to_pylist():
             for want in row["wanted"]:
                 out["key"].append(want["key"])
-                out["ord"].append(row["ord"])
-                out["crc"].append(row["crc"])
+                for c in OWN:
+                    out[c].append(row[c])
                 out["start"].append(want["start"])
                 out["bytes"].append(row["body"][want["start"] : want["start"] + want["n"] + LENGTH - 1])
                 out["large"].append(want["large"])
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_())
+        kinds = (*[pa.int64()] * 5, pa.binary(), pa.bool_())
         yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
 
 
@@ -198,8 +206,8 @@ def _covered(table_: pa.Table, run: np.ndarray, nth: np.ndarray) -> pa.RecordBat
     n = np.diff(np.r_[first, len(run)])
     own = run[first]
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.asarray(table_[c])[own]) for c in ("ord", "crc")] + [pa.array(place[first]), pa.array(n)],
-        ["ord", "crc", "start", "n"],
+        [pa.array(np.asarray(table_[c])[own]) for c in OWN] + [pa.array(place[first]), pa.array(n)],
+        [*OWN, "start", "n"],
     )
 
 
@@ -212,15 +220,15 @@ def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         rows = pa.Table.from_batches(parts)
         run, nth, name = _strings(rows)
         order = np.argsort(name, kind="stable")
-        ids, crcs = np.asarray(rows["ord"]), np.asarray(rows["crc"])
+        ids, h1, h2 = (np.asarray(rows[c]) for c in OWN)
         sorted_name, owner = name[order], run[order]
         place = (np.asarray(rows["start"])[run] + nth)[order]
         changed = sorted_name[1:] != sorted_name[:-1]
         group = np.flatnonzero(np.r_[True, changed])
         lowest = np.repeat(ids[owner[group]], np.diff(np.r_[group, len(order)]))
         # Repeated rows bring a string of one place more than once; only a later place is a repeat.
-        own = np.flatnonzero(np.r_[True, changed | (ids[owner[1:]] != ids[owner[:-1]])
-                                   | (crcs[owner[1:]] != crcs[owner[:-1]])])
+        other = [c[owner[1:]] != c[owner[:-1]] for c in (ids, h1, h2)]
+        own = np.flatnonzero(np.r_[True, np.logical_or.reduce([changed, *other])])
         first_place = np.repeat(np.minimum.reduceat(place, own), np.diff(np.r_[own, len(order)]))
         hit = np.sort(order[(ids[owner] > lowest) | (place > first_place)])
         return _covered(rows, run[hit], nth[hit])
@@ -247,13 +255,12 @@ def _spread_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in _slices(batches, 512):
         rows = pa.Table.from_batches([batch])
         run, nth, name = _strings(rows)
-        out = [np.asarray(rows["ord"])[run], np.asarray(rows["crc"])[run], np.asarray(rows["start"])[run] + nth,
-               name.view(np.int64)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], ["ord", "crc", "place", "name"])
+        out = [*(np.asarray(rows[c])[run] for c in OWN), np.asarray(rows["start"])[run] + nth, name.view(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], [*OWN, "place", "name"])
 
 
 def covered_runs(texts: DataFrame) -> DataFrame:
-    """Runs (ord, crc, start, n) of strings that also start earlier; they may overlap."""
+    """Runs (ord, h1, h2, start, n) of strings that also start earlier; they may overlap."""
     spark = texts.sparkSession
     small_batches(spark)
     counts = texts.select("body").mapInArrow(_count_buckets, "key long, runs long")
@@ -261,7 +268,7 @@ def covered_runs(texts: DataFrame) -> DataFrame:
     # execution can split a bucket that holds a large part of all runs. So are the tables after it.
     shared = cut(counts.groupBy("key").agg(F.sum("runs").alias("runs")).where("runs > 1").select("key"), "shared")
     runs = texts.mapInArrow(
-        _list_runs, "ord long, crc long, key long, text long, start long, n long, again boolean"
+        _list_runs, "ord long, h1 long, h2 long, key long, text long, start long, n long, again boolean"
     ).join(shared, "key")
     runs = cut(runs, "runs")
     release(spark)
@@ -270,38 +277,38 @@ def covered_runs(texts: DataFrame) -> DataFrame:
     whole = F.expr("again or ord > first")
     judged = cut(
         runs.join(contents, ["key", "text"]).select(
-            "ord", "crc", F.when(~whole, F.col("key")).alias("key"), "start", "n", whole.alias("whole")
+            *OWN, F.when(~whole, F.col("key")).alias("key"), "start", "n", whole.alias("whole")
         ),
         "judged",
     )
     release(spark)
-    wanted = judged.where("not whole").join(kinds, "key").groupBy("ord", "crc").agg(
+    wanted = judged.where("not whole").join(kinds, "key").groupBy(*OWN).agg(
         F.collect_set(F.struct("key", "start", "n", (F.col("kinds") > BUCKET_RUNS).alias("large"))).alias("wanted")
     )
     fetched = cut(
-        texts.join(wanted, ["ord", "crc"]).select("ord", "crc", "body", "wanted").mapInArrow(
-            _fetch, "key long, ord long, crc long, start long, bytes binary, large boolean"
+        texts.join(wanted, OWN).select(*OWN, "body", "wanted").mapInArrow(
+            _fetch, "key long, ord long, h1 long, h2 long, start long, bytes binary, large boolean"
         ),
         "fetched",
     )
     release(spark)
-    kind = "ord long, crc long, start long, n long"
+    kind = "ord long, h1 long, h2 long, start long, n long"
     small = (
-        fetched.where("not large").drop("large").repartition("key").sortWithinPartitions("key", "ord", "crc", "start")
+        fetched.where("not large").drop("large").repartition("key").sortWithinPartitions("key", *OWN, "start")
         .mapInArrow(_sort_buckets, kind)
     )
     strings = fetched.where("large").drop("large").mapInArrow(
-        _spread_strings, "ord long, crc long, place long, name long"
+        _spread_strings, "ord long, h1 long, h2 long, place long, name long"
     )
     # Per string and document its first place, per string the smallest document.
-    places = strings.groupBy("name", "ord", "crc").agg(F.min("place").alias("first_place"))
+    places = strings.groupBy("name", *OWN).agg(F.min("place").alias("first_place"))
     lowest = places.groupBy("name").agg(F.min("ord").alias("lowest"))
     large = (
-        strings.join(places.join(lowest, "name"), ["name", "ord", "crc"])
+        strings.join(places.join(lowest, "name"), ["name", *OWN])
         .where("ord > lowest or place > first_place")
-        .select("ord", "crc", F.col("place").alias("start"), F.lit(1).cast("long").alias("n"))
+        .select(*OWN, F.col("place").alias("start"), F.lit(1).cast("long").alias("n"))
     )
-    found = judged.where("whole").select("ord", "crc", "start", "n").union(small).union(large)
+    found = judged.where("whole").select(*OWN, "start", "n").union(small).union(large)
     return cut(found, "covered")
 
 
@@ -324,12 +331,12 @@ def _kept(body: bytes, spans: np.ndarray) -> bytes:
 
 def _with_runs(docs: DataFrame, texts: DataFrame) -> DataFrame:
     # Once per place, or the lists of a row repeated k times would be k times as long, for each of the k.
-    places = covered_runs(texts).groupBy("ord", "crc", "start").agg(F.max("n").alias("n"))
-    lists = places.groupBy("ord", "crc").agg(
+    places = covered_runs(texts).groupBy(*OWN, "start").agg(F.max("n").alias("n"))
+    lists = places.groupBy(*OWN).agg(
         F.collect_list("start").alias("starts"), F.collect_list("n").alias("counts")
     )
     release(texts.sparkSession)
-    return docs.join(lists, ["ord", "crc"], "left")
+    return docs.join(lists, OWN, "left")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -364,9 +371,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = _texts(docs, id_col, text_col)
     names_, at = docs.columns, docs.columns.index(text_col)
     keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names_]).alias("doc"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("ord"),
-        F.crc32(content(text_col).cast("binary")).alias("crc"),
+        F.struct(*[F.col(f"`{c}`") for c in names_]).alias("doc"), *_own_key(id_col, _body(text_col))
     )
     rows = _with_runs(keyed, texts).select("doc", "starts", "counts")
 

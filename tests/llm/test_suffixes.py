@@ -109,3 +109,12 @@ def test_removal_keeps_rows_and_columns(edge_docs, no_docs):
     out = remove_repeats(edge_docs)
     assert out.columns == edge_docs.columns and out.count() == edge_docs.count()
     assert remove_repeats(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("ids", [(None, None), (1, 1), (1, 2)])
+def test_texts_of_one_checksum(spark, one_checksum, ids):
+    """Only the passage that its own text repeats goes, from that text."""
+    rows = spark.createDataFrame(list(zip(ids, one_checksum)), "doc_id long, text string")
+    assert sorted(r["n_removed"] for r in repeats(rows).collect()) == [0, 150]
+    kept = {r["text"] for r in remove_repeats(rows).collect()}
+    assert one_checksum[1] in kept and one_checksum[0] not in kept
