@@ -2,6 +2,10 @@
 
 Every stage is a function of (spark, docs, sf_dir). All but the last return the columns of ``documents``. Between
 stages, documents are written to the shared folder and read again.
+
+Rows: a null text is empty and stays null until packing, which reads it as empty; null ids are kept, and rows without an
+id are told apart by their texts; rows that repeat id and text are one document from the second stage on; texts may be
+of any length; an empty table gives no rows; further columns, of any name, are carried up to packing.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from envgrade.llm.toxicity import reject, train
 def _counted(docs: DataFrame) -> DataFrame:
     """``n_chars`` of the text as it is now."""
     length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-    return docs.select(*[length.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    return docs.select(*[length.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
