@@ -1132,7 +1132,7 @@ def _(spark, d):
     TB.write_raw_batch(I.events(spark, d), raw, 0)
     TB.upsert_records(records(spark, d), index, 0)
     stream = spark.readStream.schema(TB.RAW_SCHEMA).parquet(raw)
-    _ended(flows.stream_reconcile(stream, CFG, raw, sink, scratch_path(spark, "ck"), index_path=index))
+    _ended(flows.stream_reconcile(stream, CFG, sink, scratch_path(spark, "ck"), index_path=index))
     out = TB.current_records(TB.read_record_table(spark, sink)).drop(*TB.VERSION)
     return out.withColumn("cities", F.size("city_comparisons")).drop("city_comparisons")
 

@@ -2,20 +2,27 @@
 
 A writer is a ``run``: a name that sorts by when the writer was made. Batch numbers
 count within a run, so a new checkpoint, which counts from zero again, never touches
-what an earlier one wrote. Every batch has a partition of its own: written again, it
-replaces itself. Records are read latest-wins, by run and then by batch.
-``compact_records`` keeps the latest row per key in one partition.
+what an earlier one wrote. Raw and quarantine batches have a partition of their own:
+written again, they replace themselves. Records are merged into the regions and days
+that a batch touches (see ``generations``), and read latest-wins, by run and then by
+batch. ``compact_records`` keeps the latest row per key of all runs.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envgrade import schemas as S
 from envgrade.config import Settings
+from envgrade.sources.generations import children, fold_in
+from envgrade.sources.generations import named as partition_name
+from envgrade.sources.generations import read as read_generations
 
 VERSION = ("run", "batch_id")
 VERSION_FIELDS = [S.T.StructField("run", S.T.StringType()), S.T.StructField("batch_id", S.T.LongType())]
@@ -42,12 +49,18 @@ def _write_batch(df: DataFrame, path: str, *parts: str) -> None:
 
 
 def upsert_records(records: DataFrame, path: str, batch_id: int, run: str = BATCH_RUN) -> None:
-    """Write one batch of records; writing the same batch of a run again changes nothing."""
-    _write_batch(_versioned(records, run, batch_id), path, "region")
+    """Merge one batch of records into the regions and days it touches; the same batch of a run again changes nothing."""
+    stamped = _versioned(records, run, batch_id).withColumn("written_at", F.current_timestamp())
+    fold_in(stamped, path, int(batch_id), run, current_records, repeatable=True)
 
 
-def read_record_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RECORD_TABLE_SCHEMA).parquet(path)
+def read_record_table(
+    spark: SparkSession, path: str, written_at: bool = False, folders: list[str] | None = None
+) -> DataFrame:
+    """Rows of a record table with run and batch, on request with the time of their write too. An overwritten row may
+    still be there beside its successor; ``current_records`` tells which counts."""
+    extra = [S.T.StructField("written_at", S.T.TimestampType())] if written_at else []
+    return read_generations(spark, path, folders, S.T.StructType([*RECORD_TABLE_SCHEMA.fields, *extra]))
 
 
 def current_records(table: DataFrame) -> DataFrame:
@@ -71,15 +84,33 @@ def compact_records(spark: SparkSession, path: str, into: str) -> None:
     table = read_record_table(spark, path)
     newest = table.agg(F.max(F.struct(*VERSION)).alias("v")).first()["v"]
     if newest is not None:
-        rows = current_records(table).drop(*VERSION)
-        _write_batch(_by_partition(_versioned(rows, newest["run"], newest["batch_id"]), "region"), into, "region")
+        upsert_records(current_records(table).drop(*VERSION), into, newest["batch_id"], newest["run"])
 
 
-def served_series(spark: SparkSession, path: str, region: str) -> DataFrame:
-    """The read path: one region of a record table, latest row per key, older layouts
-    filled, in window order. The region prunes partitions before anything is merged."""
-    rows = current_records(read_record_table(spark, path).where(F.col("region") == region))
-    return with_legacy_states(rows).select(*S.RECORD_COLUMNS).orderBy("window_start")
+def served_series(
+    spark: SparkSession,
+    path: str,
+    region: str,
+    start: datetime | None = None,
+    end: datetime | None = None,
+) -> DataFrame:
+    """The read path: one region of a record table, latest row per key, older layouts filled, in window order.
+
+    Windows may be limited to those that start at or after ``start`` and before ``end``. Only the folders of the region
+    and of the days in question are listed, and rows lie in window order within their files.
+    """
+    top = f"{path}/{partition_name(spark, 'region', region)}"
+    days = [n for n in children(spark, top) if _in_days(n.removeprefix("window_date="), start, end)]
+    rows = read_record_table(spark, path, folders=[f"{top}/{n}" for n in days]).where(F.col("region") == region)
+    if start is not None:
+        rows = rows.where(F.col("window_start") >= F.lit(start))
+    if end is not None:
+        rows = rows.where(F.col("window_start") < F.lit(end))
+    return with_legacy_states(current_records(rows)).select(*S.RECORD_COLUMNS).orderBy("window_start")
+
+
+def _in_days(day: str, start: datetime | None, end: datetime | None) -> bool:
+    return (start is None or day >= start.date().isoformat()) and (end is None or day <= end.date().isoformat())
 
 
 def region_series(table: DataFrame, region: str) -> DataFrame:
@@ -196,12 +227,51 @@ def verify_snapshot(records: DataFrame, cfg: Settings) -> dict:
     return report
 
 
-def publish_snapshot(records: DataFrame, root: str, version: str, view: str, cfg: Settings) -> dict:
-    """Write a new version, verify what was written, then swap the served view."""
+POINTER = "CURRENT"
+
+
+def publish_snapshot(records: DataFrame, root: str, version: str, view: str | None, cfg: Settings) -> dict:
+    """Write a new version, verify what was written, then point to it. With ``view``, this session's view follows."""
     spark = records.sparkSession
     path = f"{root}/version={version}"
     records.select(*S.RECORD_COLUMNS).write.mode("errorifexists").parquet(path)
-    written = spark.read.schema(S.RECORD_SCHEMA).parquet(path)
-    report = verify_snapshot(written, cfg)
-    written.createOrReplaceTempView(view)
+    report = verify_snapshot(spark.read.schema(S.RECORD_SCHEMA).parquet(path), cfg)
+    point_snapshot(spark, root, version)
+    if view:
+        read_snapshot(spark, root).createOrReplaceTempView(view)
     return report
+
+
+def point_snapshot(spark: SparkSession, root: str, version: str) -> None:
+    """Make a written version the served one, for every session; older versions stay, so this also rolls back.
+
+    The pointer is written beside its place and renamed over it: readers see the old version or the new one. That is
+    one step on HDFS and on local disks; a store without such a rename needs a pointer of its own kind.
+    """
+    jvm = spark._jvm.org.apache.hadoop.fs
+    path = jvm.Path(f"{root}/version={version}")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        raise SnapshotFault(f"there is no version {version}")
+    fresh, place = jvm.Path(f"{root}/_{POINTER}-{uuid.uuid4().hex}"), jvm.Path(f"{root}/{POINTER}")
+    files = jvm.FileContext.getFileContext(fresh.toUri(), spark._jsc.hadoopConfiguration())
+    out = fresh.getFileSystem(spark._jsc.hadoopConfiguration()).create(fresh)
+    out.write(version.encode("utf-8"))
+    out.close()
+    rename = getattr(jvm, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    files.rename(fresh, place, options)
+
+
+def snapshot_version(spark: SparkSession, root: str) -> str:
+    """The served version."""
+    try:
+        found = spark.read.format("binaryFile").load(f"{root}/{POINTER}").select("content").first()
+    except AnalysisException as absent:
+        raise SnapshotFault(f"nothing has been published under {root}") from absent
+    return bytes(found["content"]).decode("utf-8")
+
+
+def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
+    """The served version, resolved once: a reader keeps its version while newer ones are published."""
+    return spark.read.schema(S.RECORD_SCHEMA).parquet(f"{root}/version={snapshot_version(spark, root)}")

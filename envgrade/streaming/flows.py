@@ -5,9 +5,13 @@ state in Spark, so a window that spans many batches counts all of its events;
 ``stream_reconcile`` attaches comparisons to the windows a batch has touched;
 ``stream_ingest`` does all of it from one parse, under one commit.
 
-Late rows: ``stream_index`` drops and counts them. ``stream_ingest`` recomputes from
-the raw table, so a late row counts in its window there. ``stream_reconcile`` takes
-the index records as they are where it is given their table.
+``stream_ingest`` and ``stream_reconcile`` keep mergeable aggregates of their windows
+(see ``partials``): a batch reads its own rows and the aggregates of the days it touches.
+
+Late rows: ``stream_index`` drops and counts them. ``stream_ingest`` adds a row to its
+window whenever it comes. ``stream_reconcile`` takes the index records as they are where
+it is given their table. What a run adds up is what that run has read: a new checkpoint
+that reads all messages again starts from nothing.
 """
 
 from __future__ import annotations
@@ -22,16 +26,16 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from envgrade import schemas as S
 from envgrade.config import Settings
 from envgrade.operators.gate import split_valid, valid_events, validate_envelopes
-from envgrade.operators.index import aggregate_windows, as_records, compute_records, score_windows, with_windows
-from envgrade.operators.reconcile import reconcile_rows
+from envgrade.operators.index import aggregate_windows, as_records, score_windows, with_windows
+from envgrade.operators.reconcile import attach_reconciliation, rollup_region
 from envgrade.sources.tables import (
+    RECORD_TABLE_SCHEMA,
     current_records,
-    read_raw,
-    read_record_table,
     upsert_records,
     write_quarantine,
     write_raw_batch,
 )
+from envgrade.streaming.partials import fold_events, folded_records, records_at
 
 GATE_METRICS = "gate"
 
@@ -91,9 +95,20 @@ def stream_raw(
 
 
 def stream_ingest(
-    messages: DataFrame, cfg: Settings, raw_path: str, quarantine_path: str, sink: str, checkpoint: str, **run
+    messages: DataFrame,
+    cfg: Settings,
+    raw_path: str,
+    quarantine_path: str,
+    sink: str,
+    checkpoint: str,
+    partials: str | None = None,
+    **run,
 ) -> StreamingQuery:
-    """Raw append, quarantine and reconciled records of a batch, under one offset commit."""
+    """Raw append, quarantine and reconciled records of a batch, under one offset commit.
+
+    Aggregates of windows lie under ``partials``, beside the sink if not said otherwise.
+    """
+    kept = partials or f"{sink.rstrip('/')}_partials"
 
     def write(batch: DataFrame, batch_id: int, run_name: str) -> None:
         held = batch.persist()
@@ -101,9 +116,8 @@ def stream_ingest(
             valid, rejected = split_valid(held)
             write_raw_batch(valid, raw_path, batch_id, run_name)
             write_quarantine(rejected, quarantine_path, batch_id, run_name)
-            raw = read_raw(batch.sparkSession, raw_path)
-            records = recompute_windows(raw, touched_windows(valid, cfg), cfg)
-            upsert_records(records, sink, batch_id, run_name)
+            windows, cities = fold_events(valid, kept, cfg, batch_id, run_name)
+            upsert_records(folded_records(windows, cities, cfg), sink, batch_id, run_name)
         finally:
             held.unpersist()
 
@@ -141,49 +155,33 @@ def touched_windows(events: DataFrame, cfg: Settings) -> DataFrame:
     return with_windows(events, cfg.window_minutes).select(*S.KEY).distinct()
 
 
-def recompute_windows(
-    raw: DataFrame, touched: DataFrame, cfg: Settings, records: DataFrame | None = None
-) -> DataFrame:
-    """Reconciled records of the touched windows, from everything the raw table holds,
-    or with comparisons attached to given records.
-
-    The touched dates, a short list for any batch, prune the date partitions. Raw rows
-    of those dates are aggregated to windows first; only then are windows picked, so a
-    busy region combines map-side and no join sees raw rows.
-    """
-    days = F.explode(F.sequence(F.to_date("window_start"), F.to_date("window_end")))
-    dates = [r[0] for r in touched.select(days.alias("day")).distinct().collect()]
-    near = raw.where(F.col("event_date").isin(dates)) if dates else raw.limit(0)
-    stations = near.where(F.col("event_type") == S.STATION)
-    models = near.where(F.col("event_type") == S.SATELLITE)
-    base = compute_records(near, cfg) if records is None else records
-    return reconcile_rows(base.join(touched, S.KEY, "left_semi"), stations, models, cfg)
-
-
 def stream_reconcile(
     raw_stream: DataFrame,
     cfg: Settings,
-    raw_path: str,
     sink: str,
     checkpoint: str,
     index_path: str | None = None,
+    partials: str | None = None,
     **run,
 ) -> StreamingQuery:
-    """Reconciled records follow the raw table. Seeing a file twice is harmless: its
-    windows are recomputed to the same rows. With ``index_path`` the index values are
-    those of that table, and a window it does not hold gets no record."""
+    """Reconciled records follow the raw table, each of whose files is read once. With ``index_path`` the index values
+    are those of that table, and a window it does not hold gets no record."""
+    kept = partials or f"{sink.rstrip('/')}_partials"
 
     def write(batch: DataFrame, batch_id: int, run_name: str) -> None:
-        spark = batch.sparkSession
-        touched = touched_windows(batch, cfg).persist()
+        held = batch.persist()
         try:
-            index = current_records(read_record_table(spark, index_path)) if index_path else None
-            if index is not None:
-                index = index.select(*S.RECORD_COLUMNS)
-            done = recompute_windows(read_raw(spark, raw_path), touched, cfg, index)
+            windows, cities = fold_events(held, kept, cfg, batch_id, run_name, index=index_path is None)
+            if index_path is None:
+                done = folded_records(windows, cities, cfg)
+            else:
+                touched = touched_windows(held, cfg)
+                rows = records_at(held.sparkSession, index_path, touched, RECORD_TABLE_SCHEMA)
+                index = current_records(rows).select(*S.RECORD_COLUMNS).join(touched, S.KEY, "left_semi")
+                done = attach_reconciliation(index, rollup_region(cities))
             upsert_records(done, sink, batch_id, run_name)
         finally:
-            touched.unpersist()
+            held.unpersist()
 
     writer = raw_stream.writeStream.queryName("reconcile").foreachBatch(_in_run(checkpoint, write))
     return start(writer, checkpoint, **run)

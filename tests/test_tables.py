@@ -93,7 +93,7 @@ def test_window_split_over_batches_equals_one_batch(spark, tmp_path, landed):
     q = flows.stream_index(stream, CFG, sink, ck)
     q.awaitTermination()
     table = TB.read_record_table(spark, sink)
-    assert table.select("batch_id").distinct().count() >= 3
+    assert table.agg(F.max("batch_id")).first()[0] >= 2
     batch = compute_records(frame(spark, rows), CFG)
     assert enforce(same_index(TB.current_records(table), batch), "stream") == 24
     # Nothing new: a second drain from the same checkpoint changes nothing.
@@ -130,7 +130,7 @@ def test_raw_quarantine_reconcile_and_telemetry(spark, tmp_path, landed):
         q = flows.stream_raw(read_envelopes(spark, folder, streaming=True), CFG, raw, bad, str(tmp_path / "c1"))
         q.awaitTermination()
         flows.stream_reconcile(
-            spark.readStream.schema(TB.RAW_SCHEMA).parquet(raw), CFG, raw, done, str(tmp_path / "c2")).awaitTermination()
+            spark.readStream.schema(TB.RAW_SCHEMA).parquet(raw), CFG, done, str(tmp_path / "c2")).awaitTermination()
         listener.wait(q)
     finally:
         spark.streams.removeListener(listener)
@@ -228,6 +228,6 @@ def test_reconcile_keeps_the_index_of_its_table(spark, tmp_path):
     early = compute_records(frame(spark, rows), CFG).withColumn("impact_index", F.lit(7.0))
     TB.upsert_records(early, index, 0)
     stream = spark.readStream.schema(TB.RAW_SCHEMA).parquet(raw)
-    flows.stream_reconcile(stream, CFG, raw, sink, str(tmp_path / "ck"), index_path=index).awaitTermination()
+    flows.stream_reconcile(stream, CFG, sink, str(tmp_path / "ck"), index_path=index).awaitTermination()
     out = TB.current_records(TB.read_record_table(spark, sink)).collect()
     assert len(out) == 8 and {r.impact_index for r in out} == {7.0} and {r.covered_city_count for r in out} == {1}
