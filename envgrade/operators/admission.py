@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from envgrade.config import Settings, WindowSpan
+from envgrade.config import Settings, Stretch
 from envgrade.functions.scalars import haversine_m, station_radius_m
 
 
@@ -68,12 +68,12 @@ def check_pm25_sensor(sensors: DataFrame, cfg: Settings) -> DataFrame:
     return sensors.withColumn("rejection", sensor_identity(cfg))
 
 
-def brackets(span: WindowSpan) -> Column:
+def brackets(span: Stretch) -> Column:
     inside = (F.col("datetime_first") <= F.lit(span.start)) & (F.col("datetime_last") >= F.lit(span.end))
     return F.coalesce(inside, F.lit(False))
 
 
-def _named(sensors: DataFrame, span: WindowSpan, cfg: Settings) -> DataFrame:
+def _named(sensors: DataFrame, span: Stretch, cfg: Settings) -> DataFrame:
     return sensors.where(F.col("parameter") == cfg.pm25_parameter).withColumns(
         {
             "_wrong": sensor_identity(cfg).isNotNull(),
@@ -82,7 +82,7 @@ def _named(sensors: DataFrame, span: WindowSpan, cfg: Settings) -> DataFrame:
     )
 
 
-def resolve_sensors(locations: DataFrame, sensors: DataFrame, span: WindowSpan, cfg: Settings) -> DataFrame:
+def resolve_sensors(locations: DataFrame, sensors: DataFrame, span: Stretch, cfg: Settings) -> DataFrame:
     """Each location with its one covering PM2.5 sensor, or the kind of its refusal.
 
     A location whose PM2.5 sensor reports in another unit is refused with the kind
@@ -112,7 +112,7 @@ def resolve_sensors(locations: DataFrame, sensors: DataFrame, span: WindowSpan,
     )
 
 
-def _pm25_by_location(sensors: DataFrame, span: WindowSpan, cfg: Settings) -> DataFrame:
+def _pm25_by_location(sensors: DataFrame, span: Stretch, cfg: Settings) -> DataFrame:
     pm25 = sensors.where(F.col("parameter") == cfg.pm25_parameter).withColumn("_covers", brackets(span))
     # The first sensor by list position, as an aggregate that combines map-side.
     return pm25.groupBy("location_id").agg(
@@ -121,7 +121,7 @@ def _pm25_by_location(sensors: DataFrame, span: WindowSpan, cfg: Settings) -> Da
     )
 
 
-def _judged(in_radius: DataFrame, sensors: DataFrame, span: WindowSpan, cfg: Settings) -> DataFrame:
+def _judged(in_radius: DataFrame, sensors: DataFrame, span: Stretch, cfg: Settings) -> DataFrame:
     fixed = ~F.coalesce(F.col("is_mobile"), F.lit(False))
     graded = fixed & F.coalesce(F.col("is_monitor"), F.lit(False))
     joined = in_radius.join(_pm25_by_location(sensors, span, cfg), "location_id", "left")
@@ -137,14 +137,14 @@ def _judged(in_radius: DataFrame, sensors: DataFrame, span: WindowSpan, cfg: Set
     )
 
 
-def admitted_locations(in_radius: DataFrame, sensors: DataFrame, span: WindowSpan, cfg: Settings) -> DataFrame:
+def admitted_locations(in_radius: DataFrame, sensors: DataFrame, span: Stretch, cfg: Settings) -> DataFrame:
     """One row per admitted location; the id list of a city is these rows."""
     return _judged(in_radius, sensors, span, cfg).where("_admitted").select(
         "region", "city", "location_id", F.col("location_id").cast("string").alias("station_id")
     )
 
 
-def admission_funnel(in_radius: DataFrame, sensors: DataFrame, span: WindowSpan, cfg: Settings) -> DataFrame:
+def admission_funnel(in_radius: DataFrame, sensors: DataFrame, span: Stretch, cfg: Settings) -> DataFrame:
     """Per city, how many locations pass each step; each count bounds the next."""
     return _judged(in_radius, sensors, span, cfg).groupBy("city").agg(
         F.count(F.lit(1)).alias("in_radius"),
@@ -155,7 +155,7 @@ def admission_funnel(in_radius: DataFrame, sensors: DataFrame, span: WindowSpan,
     )
 
 
-def admission_shortfall(in_radius: DataFrame, sensors: DataFrame, span: WindowSpan, cfg: Settings) -> DataFrame:
+def admission_shortfall(in_radius: DataFrame, sensors: DataFrame, span: Stretch, cfg: Settings) -> DataFrame:
     """Per city: locations the first-sensor rule leaves out, and those any sensor recovers."""
     return _judged(in_radius, sensors, span, cfg).groupBy("city").agg(
         F.count_if(F.col("_measured") & ~F.col("_first")).alias("examined"),

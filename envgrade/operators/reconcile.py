@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from envgrade import schemas as S
-from envgrade.config import Settings, WindowSpan
+from envgrade.config import Settings, Stretch
 from envgrade.functions.scalars import mqo_tolerance
 from envgrade.operators.index import with_windows
 
@@ -19,7 +19,7 @@ class WindowViolation(ValueError):
     """Rows outside the window a run was pointed at."""
 
 
-def inside(span: WindowSpan, ts: str = "ts") -> Column:
+def inside(span: Stretch, ts: str = "ts") -> Column:
     return (F.col(ts) >= F.lit(span.start)) & (F.col(ts) < F.lit(span.end))
 
 
@@ -27,7 +27,7 @@ def in_named_window(df: DataFrame, name: str, cfg: Settings, ts: str = "ts") ->
     return df.where(inside(cfg.window(name), ts))
 
 
-def stray_report(df: DataFrame, span: WindowSpan, ts: str = "ts") -> DataFrame:
+def stray_report(df: DataFrame, span: Stretch, ts: str = "ts") -> DataFrame:
     """Rows, distinct stray timestamps, stray rows and the earliest stray."""
     stray = ~inside(span, ts)
     return df.agg(
@@ -38,7 +38,7 @@ def stray_report(df: DataFrame, span: WindowSpan, ts: str = "ts") -> DataFrame:
     )
 
 
-def check_inside_window(df: DataFrame, span: WindowSpan, ts: str = "ts") -> int:
+def check_inside_window(df: DataFrame, span: Stretch, ts: str = "ts") -> int:
     """Refuse the run when any row lies outside; returns the rows checked."""
     report = stray_report(df, span, ts).first()
     if report["stray_rows"]:
@@ -167,7 +167,7 @@ def reconcile(
     models: DataFrame,
     cfg: Settings,
     *,
-    window: WindowSpan,
+    window: Stretch,
 ) -> DataFrame:
     """Reconcile one named window; runs a check over both inputs before returning."""
     check_inside_window(stations.select("ts").unionByName(models.select("ts")), window)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from envgrade import schemas as S
-from envgrade.config import Settings, WindowSpan
+from envgrade.config import Settings, Stretch
 from envgrade.functions.dims import literal_table
 from envgrade.functions.scalars import mqo_tolerance, verbal_label
 from envgrade.operators.index import with_windows
@@ -236,7 +236,7 @@ def windows_lost_without(stations: DataFrame, cw: DataFrame, cfg: Settings) -> D
 
 
 def coverage_vs_ceiling(
-    admitted: DataFrame, stations: DataFrame, window: WindowSpan, cfg: Settings
+    admitted: DataFrame, stations: DataFrame, window: Stretch, cfg: Settings
 ) -> DataFrame:
     """Per admitted city: stations admitted and contributing, qualifying hours against
     the hours of the window; the total row has a null city."""

@@ -7,13 +7,13 @@ of a table is used.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envgrade import schemas as S
-from envgrade.config import CITIES, REGIONS, Settings, WindowSpan
+from envgrade.config import CITIES, REGIONS, Settings, Stretch
 from envgrade.functions.dims import literal_table
 from envgrade.operators.capture import station_hour_gate
 from envgrade.session import land
@@ -27,13 +27,13 @@ def utc(year: int, month: int, day: int) -> datetime:
     return datetime(year, month, day, tzinfo=timezone.utc)
 
 
-FIRST_HALF = WindowSpan(utc(2024, 1, 1), utc(2024, 1, 16))
-SECOND_HALF = WindowSpan(utc(2024, 1, 16), utc(2024, 1, 31))
-WHOLE_MONTH = WindowSpan(utc(2024, 1, 1), utc(2024, 1, 31))
+FIRST_HALF = Stretch(utc(2024, 1, 1), timedelta(days=15))
+SECOND_HALF = Stretch(utc(2024, 1, 16), timedelta(days=15))
+WHOLE_MONTH = Stretch(utc(2024, 1, 1), timedelta(days=30))
 # Bounds of spans that the month's events come in, in order of time.
 _EDGES = [utc(2024, 1, day) for day in (1, 8, 16, 23, 31)]
 QUARTERS = list(zip(_EDGES, _EDGES[1:]))
-SENSOR_WINDOW = WindowSpan(utc(1997, 3, 1), utc(1997, 5, 1))
+SENSOR_WINDOW = Stretch(utc(1997, 3, 1), timedelta(days=61))
 
 
 def settings(minutes: int = WINDOW_MINUTES) -> Settings:

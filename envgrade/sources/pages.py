@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envgrade import schemas as S
-from envgrade.config import Settings, WindowSpan
+from envgrade.config import Settings, Stretch
 from envgrade.functions.dims import vegetation_reference
 from envgrade.operators.capture import CaptureFault, read_hour_entry
 from envgrade.operators.reconcile import inside
@@ -80,7 +80,7 @@ def explode_hourly(pages: DataFrame, variables: tuple[str, ...], body: str = "bo
     )
 
 
-def explode_model_hours(pages: DataFrame, window: WindowSpan) -> DataFrame:
+def explode_model_hours(pages: DataFrame, window: Stretch) -> DataFrame:
     """Model PM2.5 rows inside the window. A null hour gives no row.
 
     Cloud, vegetation and aerosol are not fetched for a comparison; they are fixed

@@ -1,9 +1,11 @@
+from datetime import timedelta
+
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from envgrade.config import Settings, WindowSpan
+from envgrade.config import Settings, Stretch
 from envgrade.operators import admission as AD
 from envgrade.operators import capture as CP
 from envgrade.operators import reports as R
@@ -11,7 +13,7 @@ from envgrade.sources import pages as PG
 from tests.helpers import at, frame, station
 
 CFG = Settings()
-SPAN = WindowSpan(at("2026-07-17T00:00:00"), at("2026-07-18T00:00:00"))
+SPAN = Stretch(at("2026-07-17T00:00:00"), timedelta(days=1))
 
 
 def hour(start="10:00", end="11:00", value=5.0, observed=1, **extra):

@@ -1,7 +1,9 @@
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
-from envgrade.config import ConfigError, Settings, WindowSpan
+from envgrade.config import ConfigError, Settings, Stretch
 from envgrade.functions import scalars as X
 from envgrade.operators.index import compute_records, dryness_index, impact_index
 from tests.helpers import at, frame, satellite, station, weather
@@ -92,7 +94,7 @@ def test_settings_refuse_bad_tables():
     with pytest.raises(ConfigError):
         Settings(vegetation_reference={"EUR": (1.5,) * 12})
     with pytest.raises(ConfigError):
-        WindowSpan(at("2026-01-02T00:00:00"), at("2026-01-01T00:00:00"))
+        Stretch(at("2026-01-02T00:00:00"), timedelta(days=-1))
     with pytest.raises(ConfigError):
         CFG.window("next_week")
 

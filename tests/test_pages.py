@@ -1,9 +1,11 @@
+from datetime import timedelta
+
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from envgrade.config import ConfigError, Settings, WindowSpan
+from envgrade.config import ConfigError, Settings, Stretch
 from envgrade.operators.capture import CaptureFault
 from envgrade.operators.reconcile import settled_only
 from envgrade.sources import envelopes as EV
@@ -21,7 +23,7 @@ def _page(block, offset=0, name="hourly"):
 def test_model_hours_keep_the_half_open_window(spark):
     block = {"time": ["2026-07-17T00:00", "2026-07-17T01:00", "2026-07-17T02:00", "2026-07-17T03:00"], "pm2_5": [1.0, None, 3.0]}
     pages = spark.createDataFrame([("EUR", "Berlin", _page(block))], PAGE)
-    span = WindowSpan(at("2026-07-17T00:00:00"), at("2026-07-17T02:00:00"))
+    span = Stretch(at("2026-07-17T00:00:00"), timedelta(hours=2))
     rows = PG.explode_model_hours(pages, span).collect()
     assert [(r.ts.hour, r.model_pm25_ugm3) for r in rows] == [(0, 1.0)]
 

@@ -1,8 +1,10 @@
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
 from envgrade import schemas as S
-from envgrade.config import Settings, WindowSpan
+from envgrade.config import Settings, Stretch
 from envgrade.operators import guards as GD
 from envgrade.operators import reconcile as RC
 from envgrade.operators import reports as R
@@ -73,7 +75,7 @@ def test_distance_equal_to_the_tolerance_agrees(spark):
 
 def test_stray_rows_refuse_the_run(parts):
     _e, stations, models, records, _d = parts
-    late = WindowSpan(at("2026-07-17T11:00:00"), at("2026-07-18T00:00:00"))
+    late = Stretch(at("2026-07-17T11:00:00"), timedelta(hours=13))
     with pytest.raises(RC.WindowViolation, match="1 observation timestamps"):
         RC.reconcile(records, stations, models, CFG, window=late)
 
