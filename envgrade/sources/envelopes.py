@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envgrade import schemas as S
+from envgrade.sources.generations import named
 
 
 def read_envelopes(
@@ -87,6 +91,35 @@ def union_sources(
     return out, failures
 
 
+def land_sources(
+    spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]], path: str, at_once: int = 4
+) -> tuple[DataFrame, dict[str, str]]:
+    """All sources as `union_sources` gives them, each landed under ``path`` by a job of its own first.
+
+    A source that cannot be opened, or fails while it is read (a damaged file, a cast that a row refuses), is recorded
+    under its name with its fault; what it had written is not read, and the others are complete. Jobs run side by side,
+    ``at_once`` of them; a job written again replaces what it left.
+    """
+
+    def landed(item: tuple[str, Callable[[], DataFrame]]) -> DataFrame | str:
+        name, source = item
+        folder = f"{path}/{named(spark, 'source', name)}"
+        try:
+            df = source()
+            df.write.mode("overwrite").parquet(folder)
+            return spark.read.schema(df.schema).parquet(folder).withColumn("source", F.lit(name))
+        except (PySparkException, Py4JJavaError, OSError) as fault:
+            return type(fault).__name__
+
+    with ThreadPoolExecutor(at_once) as jobs:
+        done = dict(zip(sources, jobs.map(landed, sources.items())))
+    failures = {name: out for name, out in done.items() if isinstance(out, str)}
+    whole = [out for out in done.values() if not isinstance(out, str)]
+    if not whole:
+        raise ValueError(f"every source failed: {failures}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), whole), failures
+
+
 def failure_rows(spark: SparkSession, failures: Mapping[str, str]) -> DataFrame:
     """What `union_sources` could not open, one row per source: at most as many as were asked for."""
     rows = [(name, fault, 0) for name, fault in sorted(failures.items())]
