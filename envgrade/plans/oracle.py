@@ -318,6 +318,9 @@ ORACLE: dict[str, str] = {
     "s_08_union_sources": sql(BASE, """SELECT 'stations' AS source, city, count(*) AS n, count(*) AS station_values, CAST(0 AS BIGINT) AS model_values, CAST(NULL AS VARCHAR) AS fault FROM st GROUP BY 2
         UNION ALL SELECT 'models', city, count(*), 0, count(*), NULL FROM sat GROUP BY 2
         UNION ALL SELECT 'absent', NULL, 0, NULL, NULL, 'AnalysisException'"""),
+    "s_08_land_sources": sql(BASE, """SELECT 'stations' AS source, city, count(*) AS n, count(*) AS station_values, CAST(0 AS BIGINT) AS model_values FROM st GROUP BY 2
+        UNION ALL SELECT 'models', city, count(*), 0, count(*) FROM sat GROUP BY 2
+        UNION ALL SELECT 'refused', NULL, 0, NULL, NULL"""),
     "s_09_wrap_envelopes": sql(BASE, """SELECT event_id, region AS key, kind AS event_type,
         strftime(CASE WHEN kind = 'station' THEN date_trunc('hour', ts) ELSE ts END, '%Y-%m-%dT%H:%M:%S.%fZ') AS ts_text,
         round(CASE kind WHEN 'weather' THEN value / 10e0 WHEN 'satellite' THEN value ELSE value - 5e0 END, 10) AS main_value,

@@ -233,6 +233,27 @@ def _(spark, d):
     return counts.unionByName(EV.failure_rows(spark, failures), allowMissingColumns=True)
 
 
+@query("s_08_land_sources")
+def _(spark, d):
+    """As above, with a source that opens and fails while it is read."""
+    ev = I.events(spark, d)
+    out, failures = EV.land_sources(
+        spark,
+        {
+            "stations": lambda: I.stations_of(ev),
+            "models": lambda: I.satellites_of(ev),
+            "refused": lambda: I.stations_of(ev).withColumn("pm25_ugm3", F.col("city").cast("double")),
+        },
+        scratch_path(spark, "landed"),
+    )
+    counts = out.groupBy("source", "city").agg(
+        F.count(F.lit(1)).alias("n"), F.count("pm25_ugm3").alias("station_values"),
+        F.count("model_pm25_ugm3").alias("model_values"),
+    )
+    failed = EV.failure_rows(spark, failures).drop("fault")
+    return counts.unionByName(failed, allowMissingColumns=True)
+
+
 @query("s_09_wrap_envelopes")
 def _(spark, d):
     wrapped = EV.wrap_envelopes(I.events(spark, d, keep=("event_id",)), keep=("event_id",))
