@@ -339,6 +339,7 @@ ORACLE: dict[str, str] = {
     "k_06_legacy_states": sql(I360, "SELECT " + PLAIN.replace("round(model_pm25_ugm3, 10) AS", "CAST(NULL AS DOUBLE) AS") + ", CAST(0 AS BIGINT) AS details FROM rec"),
     "k_07_write_quarantine": sql([BASE, MESSAGES], "SELECT claimed_type AS event_type, reason_code, count(*) AS n, count(*) AS with_raw FROM msg WHERE reason_code IS NOT NULL GROUP BY 1, 2"),
     "k_08_verify_snapshot": sql(I360, "SELECT count(*) AS n_rows, count(*) AS n_keys, max(window_start) AS newest_window_start, '' AS missing_regions FROM rec"),
+    "k_08_publish_snapshot": sql(I360, "SELECT region, count(*) AS n, round(avg(impact_index), 10) AS mean_index, '2' AS version FROM rec GROUP BY 1"),
     "k_09_capture_report": sql([BASE, HOURS, PLACES], f""", tally AS (SELECT {TALLY} FROM gh), res AS (SELECT {RESOLUTION} FROM resolved),
         bounds AS (SELECT 'station' AS side, count(*) AS n, strftime(min(starts), '%Y-%m-%d %H:%M') || '/' || strftime(max(starts), '%Y-%m-%d %H:%M') AS span FROM kept
                    UNION ALL SELECT 'model', count(*), strftime(min(ts), '%Y-%m-%d %H:%M') || '/' || strftime(max(ts), '%Y-%m-%d %H:%M') FROM sat),

@@ -355,6 +355,23 @@ def _(spark, d):
     return report.withColumn("missing_regions", F.array_join(F.array_sort("missing_regions"), ","))
 
 
+@query("k_08_publish_snapshot")
+def _(spark, d):
+    """Two versions are published, one is refused; another session is asked what is served."""
+    root, every = scratch_path(spark, "snapshots"), records(spark, d)
+    TB.publish_snapshot(every.where(F.col("window_start") < F.lit(I.FIRST_HALF.end)), root, "1", None, CFG)
+    TB.publish_snapshot(every, root, "2", None, CFG)
+    try:
+        TB.publish_snapshot(every.where("region <> 'NAM'"), root, "3", None, CFG)
+    except TB.SnapshotFault:
+        pass
+    version = TB.snapshot_version(spark.newSession(), root)
+    counts = TB.read_snapshot(spark, root).groupBy("region").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("impact_index").alias("mean_index")
+    )
+    return counts.withColumn("version", F.lit(version))
+
+
 @query("k_09_capture_report")
 def _(spark, d):
     hours = I.landed_hours(spark, d)
