@@ -317,10 +317,13 @@ def nearest_rank(df: DataFrame, keys: Sequence[str], value: str, q: float, name:
     return exact_percentiles(df, keys, value, {name: q}, nearest_rank=True)
 
 
-def freshness_lag(records: DataFrame, written_at: str = "written_at") -> DataFrame:
-    """Median seconds from the end of a window to the write of its record."""
+def freshness_lag(records: DataFrame, written_at: str = "written_at", keys: Sequence[str] = ()) -> DataFrame:
+    """Median seconds from the end of a window to the write of its record; over all, or per ``keys``.
+
+    A record table keeps the time of each write, see ``read_record_table(..., written_at=True)``.
+    """
     lag = F.unix_micros(F.col(written_at)) - F.unix_micros(F.col("window_end"))
-    return exact_median(records.withColumn("_lag", lag / 1e6), [], "_lag", "median_lag_s")
+    return exact_median(records.withColumn("_lag", lag / 1e6), list(keys), "_lag", "median_lag_s")
 
 
 def component_profile(scored: DataFrame, cfg: Settings) -> DataFrame:

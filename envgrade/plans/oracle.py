@@ -497,7 +497,8 @@ ORACLE: dict[str, str] = {
     "a_36_value_probe": sql([BASE, HOURLY], """SELECT city, count(*) AS n_values, count(*) FILTER (hn % 13 = 0) AS nulls, count(*) FILTER (hn % 13 <> 0 AND mv < 5) AS negatives,
         round(min(mv - 5e0) FILTER (hn % 13 <> 0), 10) AS min_value FROM hv GROUP BY ROLLUP (city)"""),
     "a_37_nearest_rank": sql(BASE, """SELECT region, city, count(*) AS n, round(list_sort(list(pm))[CAST(round_even(0.95e0 * (count(*) - 1), 0) AS BIGINT) + 1], 10) AS p95 FROM st GROUP BY 1, 2"""),
-    "a_38_freshness_lag": sql(I360, "SELECT count(*) AS n, round(median(floor(impact_index)), 10) AS median_lag_s FROM rec"),
+    "a_38_freshness_lag": sql(I360, """SELECT CAST(CASE WHEN window_start < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END AS BIGINT) AS batch_id, count(*) AS n,
+        round(median(epoch(window_end)), 1) AS median_window_end_s, true AS written_in_order FROM rec GROUP BY 1"""),
     "a_39_component_profile": sql(I360, "SELECT count(*) AS windows, " + ", ".join(r(f"{f}({c})", f"{c}_{f}") for c in ("pollution_index", "impact_index") for f in ("avg", "stddev", "min", "max"))
         + ", round(CAST(count(*) FILTER (mean_aerosol >= 2e0) AS DOUBLE) / count(mean_aerosol), 10) AS saturated_share FROM rec"),
     "a_40_coverage_vs_ceiling": sql(BASE, """, x AS (SELECT city, count(DISTINCT user_id) AS admitted FROM base GROUP BY 1),
@@ -551,8 +552,8 @@ ORACLE: dict[str, str] = {
     "t_01_stream_windows": sql(I360, "SELECT region, window_start, window_end, n_weather, n_satellite FROM rec"),
     "t_02_stream_index": sql(OK360, f"SELECT {PLAIN} FROM rec"),
     "t_03_commit_after_write": sql(OK360, f"SELECT {PLAIN} FROM rec"),
-    "t_04_late_rows": sql([BASE, MESSAGES], """SELECT (SELECT count(*) FROM events) AS input_rows, true AS some_dropped,
-        count(*) FILTER (kind <> 'station' AND ts < TIMESTAMP '2024-01-16') AS late_rows FROM ok"""),
+    "t_04_late_rows": sql([BASE, MESSAGES], """SELECT kind AS event_type, count(*) AS accepted_rows, true AS some_dropped,
+        count(*) FILTER (ts < TIMESTAMP '2024-01-16') AS late_rows, count(*) FILTER (ts >= TIMESTAMP '2024-01-16') AS counted_rows FROM ok GROUP BY 1"""),
     "t_05_drain_once": sql([BASE, MESSAGES], "SELECT kind AS event_type, region, count(*) AS n FROM ok GROUP BY 1, 2"),
     "t_06_replay": sql(OK360, """, kept AS (SELECT region, count(*) + count(*) FILTER (ts < TIMESTAMP '2024-01-16') AS raw_rows FROM ok GROUP BY 1)
         SELECT region, raw_rows, count(*) AS n, round(avg(impact_index), 10) AS mean_index FROM rec JOIN kept USING (region) GROUP BY 1, 2""").replace("\n, kept", ", kept"),

@@ -7,9 +7,10 @@ rounded to ten decimals. Keys start with the inventory number.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +30,8 @@ from envgrade.sources import envelopes as EV
 from envgrade.sources import pages as PG
 from envgrade.sources import tables as TB
 from envgrade.streaming import flows
-from envgrade.streaming.telemetry import METRICS_SCHEMA, MetricsListener, late_events
+from envgrade.streaming.partials import counted_rows
+from envgrade.streaming.telemetry import METRICS_SCHEMA, MetricsListener
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -842,10 +844,20 @@ def _(spark, d):
 
 @query("a_38_freshness_lag")
 def _(spark, d):
-    written = records(spark, d).withColumn(
-        "written_at", F.col("window_end") + F.make_dt_interval(secs=F.floor("impact_index"))
+    """Of a record table written in two batches. A lag differs between runs, so what is shown is the write less the lag
+    (the median end of a batch's windows), and whether each batch was written after the one before and in this run."""
+    path, before = scratch_path(spark, "written"), datetime.now(timezone.utc)
+    early, made = F.col("window_start") < F.lit(I.FIRST_HALF.end), records(spark, d)
+    for batch, part in enumerate((made.where(early), made.where(~early))):
+        TB.upsert_records(part, path, batch)
+    table = TB.current_records(TB.read_record_table(spark, path, written_at=True))
+    writes = table.groupBy("batch_id").agg(F.max("written_at").alias("at"), F.min("written_at").alias("first"))
+    earlier = F.coalesce(F.lag("at").over(Window.orderBy("batch_id")), F.lit(before))
+    real = (F.col("first") > earlier) & (F.col("at") <= F.current_timestamp())
+    return R.freshness_lag(table, keys=["batch_id"]).join(writes.withColumn("real", real), "batch_id").select(
+        "batch_id", "n", F.round(F.unix_micros("at") / 1e6 - F.col("median_lag_s"), 1).alias("median_window_end_s"),
+        F.col("real").alias("written_in_order"),
     )
-    return R.freshness_lag(written)
 
 
 @query("a_39_component_profile")
@@ -1118,22 +1130,26 @@ def _(spark, d):
 
 @query("t_04_late_rows")
 def _(spark, d):
-    """The second half of the month comes first, in two batches, so that all of the first half is late."""
+    """The second half of the month comes first, in two batches, so that all of the first half is late: dropped by the
+    query with state, kept in the late table by the other. A row is late or counted, and nothing else."""
     parts = [*I.QUARTERS[2:], (I.FIRST_HALF.start, I.FIRST_HALF.end)]
-    source, raw = _timed_messages(spark, d, parts), scratch_path(spark, "raw")
+    source, raw, late, kept = _timed_messages(spark, d, parts), *(scratch_path(spark, n) for n in ("raw", "late", "kept"))
 
     def run():
-        ck = (scratch_path(spark, "ck"), scratch_path(spark, "ck"))
-        yield _ended(flows.stream_index(_read_messages(spark, source), CFG, scratch_path(spark, "index"), ck[0]))
-        bad = scratch_path(spark, "bad")
-        yield _ended(flows.stream_raw(_read_messages(spark, source), CFG, raw, bad, ck[1]))
-
-    metrics = _listened(spark, run)
-    late = late_events(TB.read_raw(spark, raw), CFG).agg(F.count(F.lit(1)).alias("late_rows"))
-    seen = metrics.where("query = 'index'").agg(
-        F.sum("input_rows").alias("input_rows"), (F.sum("late_rows") > 0).alias("some_dropped")
-    )
-    return seen.join(late)
+        yield _ended(flows.stream_index(
+            _read_messages(spark, source), CFG, scratch_path(spark, "index"), scratch_path(spark, "ck")
+        ))
+
+    dropped = _listened(spark, run).agg((F.sum("late_rows") > 0).alias("some_dropped"))
+    _ended(flows.stream_ingest(
+        _read_messages(spark, source), CFG, raw, scratch_path(spark, "bad"), scratch_path(spark, "records"),
+        scratch_path(spark, "ck"), partials=kept, late_path=late,
+    ))
+    n = F.count(F.lit(1))
+    accepted = TB.read_raw(spark, raw).groupBy("event_type").agg(n.alias("accepted_rows"))
+    lost = TB.read_raw(spark, late).groupBy("event_type").agg(n.alias("late_rows"))
+    both = accepted.join(lost, "event_type", "left").join(counted_rows(spark, kept), "event_type", "left")
+    return both.fillna(0, ["late_rows", "counted_rows"]).join(dropped)
 
 
 def _raw_and_quarantine(spark: SparkSession, d: str) -> tuple[str, str]:

@@ -32,6 +32,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()) if fs.exists(at) else []
 
 
+def remove(spark: SparkSession, folders: Iterable[str]) -> None:
+    for folder in folders:
+        at, fs = _folder(spark, folder)
+        fs.delete(at, True)
+
+
 def named(spark: SparkSession, column: str, value) -> str:
     """The folder name of a partition value, as the writer spells it."""
     text = None if value is None else str(value)
@@ -113,8 +119,6 @@ def fold_in(
             merged.hint("rebalance", "region", "window_date").sortWithinPartitions(*PARTS, "window_start")
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
         )
-        for folder in stale:
-            at, fs = _folder(spark, folder)
-            fs.delete(at, True)
+        remove(spark, stale)
     finally:
         held.unpersist()

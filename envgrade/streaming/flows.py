@@ -9,7 +9,8 @@ state in Spark, so a window that spans many batches counts all of its events;
 (see ``partials``): a batch reads its own rows and the aggregates of the days it touches.
 
 Late rows: ``stream_index`` drops and counts them. ``stream_ingest`` adds a row to its
-window whenever it comes. ``stream_reconcile`` takes the index records as they are where
+window whenever it comes, or, given a late table, writes rows of closed windows there and
+adds only the others, under the batch's one commit. ``stream_reconcile`` takes the index records as they are where
 it is given their table. What a run adds up is what that run has read: a new checkpoint
 that reads all messages again starts from nothing.
 """
@@ -35,7 +36,7 @@ from envgrade.sources.tables import (
     write_quarantine,
     write_raw_batch,
 )
-from envgrade.streaming.partials import fold_events, folded_records, records_at
+from envgrade.streaming.partials import fold_events, folded_records, records_at, split_late
 
 GATE_METRICS = "gate"
 
@@ -102,11 +103,14 @@ def stream_ingest(
     sink: str,
     checkpoint: str,
     partials: str | None = None,
+    late_path: str | None = None,
     **run,
 ) -> StreamingQuery:
     """Raw append, quarantine and reconciled records of a batch, under one offset commit.
 
-    Aggregates of windows lie under ``partials``, beside the sink if not said otherwise.
+    Aggregates of windows lie under ``partials``, beside the sink if not said otherwise. With ``late_path``, accepted
+    rows are either counted in their window or, if it was closed when their batch came (see ``split_late``), written to
+    the late table there, which has the layout of the raw table; the raw table holds both.
     """
     kept = partials or f"{sink.rstrip('/')}_partials"
 
@@ -116,6 +120,9 @@ def stream_ingest(
             valid, rejected = split_valid(held)
             write_raw_batch(valid, raw_path, batch_id, run_name)
             write_quarantine(rejected, quarantine_path, batch_id, run_name)
+            if late_path is not None:
+                valid, late = split_late(valid, kept, cfg, batch_id, run_name)
+                write_raw_batch(late, late_path, batch_id, run_name)
             windows, cities = fold_events(valid, kept, cfg, batch_id, run_name)
             upsert_records(folded_records(windows, cities, cfg), sink, batch_id, run_name)
         finally:

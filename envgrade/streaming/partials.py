@@ -115,6 +115,50 @@ def folded_records(windows: DataFrame, cities: DataFrame, cfg: Settings) -> Data
     return attach_reconciliation(as_records(score_windows(windows, cfg)), rollup_region(cities))
 
 
+def split_late(
+    events: DataFrame, path: str, cfg: Settings, batch_id: int, run: str
+) -> tuple[DataFrame, DataFrame]:
+    """Events of a batch in time for their windows, and those whose window was closed when the batch came.
+
+    A window is closed for a batch once its end lies ``cfg.watermark`` or more before the newest event time of all
+    batches before it in its run. That time is kept under ``path``, a row for this batch and one for the batch before,
+    so a batch that is written again is cut where its first attempt was. The first batch finds every window open.
+    """
+    spark, table = events.sparkSession, f"{path}/newest"
+    top = f"{table}/{G.named(spark, 'run', run)}"
+    found = sorted((int(n.removeprefix("batch_id=")), f"{top}/{n}") for n in G.children(spark, top))
+    before = [folder for n, folder in found if n < batch_id]
+    own = events.agg(F.max("ts").alias("newest"))
+    known = spark.read.schema(own.schema).parquet(before[-1]) if before else spark.createDataFrame([], own.schema)
+    # One row, bounded: it goes into the plan as a value, so that the split is a filter.
+    newest = known.agg(F.unix_micros(F.max("newest"))).first()[0]
+    own.union(known).agg(F.max("newest").alias("newest")).coalesce(1).write.mode("overwrite").parquet(f"{top}/batch_id={batch_id:012d}")
+    G.remove(spark, before[:-1])
+    if newest is None:
+        return events, events.limit(0)
+    closed = F.timestamp_micros(F.lit(newest)) - F.expr(f"INTERVAL {cfg.watermark}")
+    late = F.coalesce(F.col("window_end") <= closed, F.lit(False))
+    rows = with_windows(events, cfg.window_minutes)
+    return rows.where(~late).select(*events.columns), rows.where(late).select(*events.columns)
+
+
+def counted_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Per kind of event how many rows the windows under ``path`` have counted, from the generations that stand."""
+    def standing(name: str, *counts: str) -> DataFrame:
+        schema = T.StructType([T.StructField(n, T.LongType()) for n in counts])
+        rows = spark.read.schema(G.with_parts(schema)).parquet(f"{path}/{name}")
+        part = [c for c in G.PARTS if c != "gen"]
+        return rows.join(rows.groupBy(*part).agg(F.max("gen").alias("gen")), list(G.PARTS), "left_semi")
+
+    def total(count: str, kind: str):
+        return F.coalesce(F.sum(count), F.lit(0)).alias(kind)
+
+    counts = standing("index", *COUNTS).agg(*[total(n, k) for n, k in COUNTS.items()]).join(
+        standing("cities", "station_n").agg(total("station_n", S.STATION))
+    )
+    return counts.unpivot([], [*COUNTS.values(), S.STATION], "event_type", "counted_rows")
+
+
 def records_at(spark: SparkSession, path: str, touched: DataFrame, schema: T.StructType) -> DataFrame:
     """The rows of a record table in the regions and days that some windows touch."""
     return G.read(spark, path, G.all_runs(spark, path, G.touched_days(touched)), schema)

@@ -5,15 +5,11 @@ from __future__ import annotations
 import json
 import threading
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from envgrade import schemas as S
-from envgrade.config import Settings
-from envgrade.operators.index import with_windows
-
 METRICS_SCHEMA = (
     "query STRING, run_id STRING, batch_id BIGINT, at STRING, input_rows BIGINT, "
     "rows_per_second DOUBLE, batch_ms BIGINT, state_rows BIGINT, late_rows BIGINT, "
@@ -46,28 +42,11 @@ def dropped_rows(metrics: DataFrame, query: str) -> int:
 
     Spark drops after its map-side combine, so late rows of one window that met in
     one task count once: zero means none were late, and more is a lower bound.
-    ``late_events`` counts exactly.
+    ``stream_ingest`` with a late table keeps the rows themselves.
     """
     return metrics.where(F.col("query") == query).agg(F.coalesce(F.sum("late_rows"), F.lit(0))).first()[0]
 
 
-def late_events(raw: DataFrame, cfg: Settings) -> DataFrame:
-    """Index inputs of a raw table that came too late for their window, counted exactly.
-
-    A stateful query drops a row by the watermark that the batch before it ran with:
-    the largest event time of all batches up to two before, less the delay. One row per
-    batch is enough to know it.
-    """
-    inputs = with_windows(raw.where(F.col("event_type") != S.STATION), cfg.window_minutes)
-    batches = inputs.groupBy("run", "batch_id").agg(F.max("ts").alias("newest"))
-    before = Window.partitionBy("run").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, -2)
-    closed = batches.select(
-        "run", "batch_id",
-        (F.max("newest").over(before) - F.expr(f"INTERVAL {cfg.watermark}")).alias("watermark"),
-    )
-    return inputs.join(closed, ["run", "batch_id"]).where(F.col("window_end") <= F.col("watermark"))
-
-
 class MetricsListener(StreamingQueryListener):
     """Appends one row per finished batch to a metrics table."""
 

@@ -10,7 +10,7 @@ from envgrade.sources import generations as G
 from envgrade.sources import tables as TB
 from envgrade.sources.envelopes import read_envelopes
 from envgrade.streaming import flows
-from envgrade.streaming.partials import fold_events, folded_records
+from envgrade.streaming.partials import counted_rows, fold_events, folded_records, split_late
 from tests.helpers import frame, satellite, station, weather
 from tests.test_tables import CFG, _day, landed  # noqa: F401
 
@@ -111,3 +111,34 @@ def test_a_pointer_moves_for_every_session(spark, tmp_path):
     with pytest.raises(TB.SnapshotFault, match="no version"):
         TB.point_snapshot(spark, root, "9")
     assert [n for n in G.children(spark, root)] == ["version=1", "version=2"]
+
+
+@pytest.mark.parametrize("cuts", [1, 3])
+def test_a_row_is_late_or_counted(spark, tmp_path, cuts):
+    """The windows that a batch finds closed depend on its own query's batches alone; none of its rows is lost."""
+    path, late, held = str(tmp_path / "p"), [], []
+    old = [weather(f"2026-07-17T0{h}:10:00", "EUR", 20.0) for h in range(6)]
+    old += [satellite("2026-07-17T01:10:00", "EUR", CITY), station("2026-07-17T01:10:00", "EUR", CITY, "s1", 5.0)]
+    new = [weather(f"2026-07-17T1{h}:10:00", "NAM", 20.0) for h in range(6)]
+    batches = [new, *_split(old, cuts)]
+    for batch, rows in enumerate(batches):
+        for _attempt in range(2):
+            good, bad = split_late(frame(spark, rows), path, CFG, batch, "7")
+            found = (good.count(), bad.count())
+            assert sum(found) == len(rows) and good.columns == bad.columns == frame(spark, rows).columns
+            fold_events(good, path, CFG, batch, "7")
+        held.append(found[0])
+        late.append(found[1])
+    # 15:10 less six hours: all windows that end by 09:10 are closed.
+    assert late == [0, *[len(p) for p in batches[1:]]]
+    assert sum(r.counted_rows for r in counted_rows(spark, path).collect()) == sum(held) == len(new)
+    assert len(glob.glob(f"{path}/newest/run=7/batch_id=*")) <= 2
+
+
+def test_a_batch_closes_no_window_for_itself(spark, tmp_path):
+    path = str(tmp_path / "p")
+    rows = frame(spark, [weather("2026-07-17T00:10:00", "EUR", 1.0), weather("2026-07-18T00:10:00", "EUR", 1.0)])
+    assert split_late(rows, path, CFG, 0, "7")[1].count() == 0
+    assert split_late(rows.limit(0), path, CFG, 1, "7")[1].count() == 0
+    good, bad = split_late(rows, path, CFG, 2, "7")
+    assert (good.count(), bad.count()) == (1, 1)

@@ -23,7 +23,7 @@ SELECTED = (
     "s_08_union_sources", "k_01_upsert_records", "k_04_current_records", "k_04_compact_records", "k_05_region_series",
     "k_07_write_quarantine", "k_08_verify_snapshot", "k_10_capture_run", "j_04_event_to_record", "j_09_cities_without_rows",
     "j_10_instrument_drift", "a_24_bias_table", "a_27_verdicts", "a_29_calls_by_status", "a_31_monthly_normals",
-    "a_32_station_population", "w_03_inheritance_witness", "l_01_ordered_records", "u_03_sensor_difference",
+    "a_32_station_population", "a_38_freshness_lag", "w_03_inheritance_witness", "l_01_ordered_records", "u_03_sensor_difference",
     "x_10_record_json", "t_02_stream_index", "t_04_late_rows", "t_06_replay", "t_07_stream_reconcile",
     "t_07_stream_ingest", "g_02_reported_never_resolved", "g_04_reconciling_keeps_the_index",
 )
