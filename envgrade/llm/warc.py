@@ -1,10 +1,13 @@
 """Op 7: WARC archives: a writer with revisit records, and a reader that salvages damaged files.
 
 Writing is a DataFrame pipeline: records are built as binary columns and written by Spark, one record after the
-other, to files of bounded size in any file system that Spark writes to. Of records with equal payloads of at
+other, to any file system that Spark writes to. Files are bounded in bytes: records are told apart by the size of
+their page, and the larger the pages of a class, the fewer of its records go into one file (about FILE_BYTES, or a
+single record that is larger). With gzip every record is a member of its own, so damage loses no other record. Of records with equal payloads of at
 least REVISIT_BYTES, the one with the largest page_id carries the payload; the others are revisits.
 
-Reading takes each file whole (they are bounded) and walks its records. A record counts only if its header
+Reading takes each file whole and walks its records; archives made elsewhere must be cut below the 2 GB that Spark
+holds in one value, and one of them is refused with an error, not read in part. A record counts only if its header
 parses, its length fits, it ends as records end and its digests agree. After a failed check the reader goes to
 the next place where a version line starts and a record passes, and logs the bytes between as a gap. Files of
 gzip members are read the same way: of a damaged member the sound beginning counts, and the reader looks for the
@@ -18,6 +21,7 @@ their payload are all responses. An empty table gives no rows; other columns are
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import zlib
@@ -31,10 +35,15 @@ from envgrade.llm.common import cut, shared_path, table
 
 REVISIT_BYTES = 1000
 RECORDS_PER_FILE = 1000
+FILE_BYTES = 64 << 20
+# Pages up to these sizes, address included, share files; the last class has no bound and a file per record.
+CLASSES = (56 << 10, 1 << 20, 16 << 20)
 VERSION = b"WARC/1.1\r\n"
 ANY_VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 END = b"\r\n\r\n"
 CHUNK = 1 << 16
+# Stands between the members of a file, as the text writer wants something there; it unpacks to nothing.
+EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 GZIP_MAGIC = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
@@ -95,12 +104,38 @@ def records(decided: DataFrame) -> DataFrame:
     return decided.withColumn("block", block).select(F.concat(head, F.col("block")).alias("value"))
 
 
-def write_warc(pages: DataFrame, path: str, compression: str = "none") -> None:
-    """Write a folder of WARC files, at most RECORDS_PER_FILE records in each; ``compression`` may be "gzip"."""
-    # The text writer puts bytes down as they are, and ends every record as the format asks.
-    text = records(decide(pages)).select(F.col("value").cast("string"))
-    out = text.write.option("lineSep", END.decode()).option("maxRecordsPerFile", RECORDS_PER_FILE)
-    out.text(path, compression=compression)
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each record, with its closing line ends, as a gzip member."""
+    for batch in batches:
+        packed = [gzip.compress(v.as_py() + END, mtime=0) for v in batch.column(0)]
+        yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], ["value"])
+
+
+def write_warc(pages: DataFrame, path: str, compression: str = "none", url_col: str = "url", html_col: str = "html") -> None:
+    """Write a folder of WARC files of bounded bytes; ``compression`` may be "gzip"."""
+    if compression not in ("none", "gzip"):
+        raise ValueError(f"compression {compression!r} is none of: none, gzip")
+    size = sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in (url_col, html_col)).cast("long")
+    kind = sum((size > bound).cast("int") for bound in CLASSES)
+    # At most one number per class. Nearly always there is one class only, and the records are made once.
+    present = sorted(r[0] for r in pages.select(kind.alias("kind")).distinct().collect()) or [0]
+    # Revisits are decided over all pages, whatever their class.
+    decided = decide(pages, url_col=url_col, html_col=html_col)
+    made = sum((_made_size() > bound).cast("int") for bound in CLASSES)
+    for i, k in enumerate(present):
+        rows = records(decided.where(made == k) if len(present) > 1 else decided)
+        most = min(RECORDS_PER_FILE, max(1, FILE_BYTES // CLASSES[k])) if k < len(CLASSES) else 1
+        # The text writer puts bytes down as they are, and ends every record as the format asks.
+        end = END
+        if compression == "gzip":
+            rows, end = rows.mapInArrow(_members, "value binary"), EMPTY_MEMBER
+        out = rows.select(F.col("value").cast("string")).write.mode("append" if i else "errorifexists")
+        out = out.option("encoding", "ISO-8859-1").option("lineSep", end.decode("latin-1"))
+        out.option("maxRecordsPerFile", most).text(path)
+
+
+def _made_size():
+    return (F.coalesce(F.octet_length("url"), F.lit(0)) + F.col("payload_bytes")).cast("long")
 
 
 def _digest_fits(label: bytes | None, data: bytes) -> bool:

@@ -4,6 +4,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from envgrade.llm import warc
 from envgrade.llm.warc import decide, op7_warc, read_warc, records, salvage, write_warc
 
 BIG = "<p>" + "y" * 1200 + "</p>"
@@ -87,3 +88,45 @@ def test_salvage_of_gzip_members(archive):
     kinds = _kinds(bytes(bad))
     assert [k for k, _, _ in kinds].count("record") == len(archive) - 1
     assert [(s, e) for k, s, e in kinds if k == "gap"] == [(at, at + len(members[3]))]
+
+
+def _files(folder):
+    return sorted(p for p in folder.iterdir() if p.name.startswith("part-"))
+
+
+def test_a_damaged_member_of_a_file_loses_one_record(spark, pages, tmp_path):
+    write_warc(pages.coalesce(1), f"{tmp_path}/w", "gzip")
+    (file,) = _files(tmp_path / "w")
+    data = bytearray(file.read_bytes())
+    whole = _kinds(bytes(data))
+    assert [k for k, _, _ in whole] == ["record"] * len(PAGES)
+    _, start, stop = whole[4]
+    data[(start + stop) // 2] ^= 255
+    damaged = tmp_path / "d" / "part-0.warc.gz"
+    damaged.parent.mkdir()
+    damaged.write_bytes(data)
+    rows = read_warc(spark, str(damaged.parent)).collect()
+    assert sorted(r["kind"] for r in rows) == ["gap"] + ["record"] * (len(PAGES) - 1)
+    assert [r["start"] for r in rows if r["kind"] == "gap"] == [start]
+
+
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_files_are_bounded_in_bytes(spark, tmp_path, monkeypatch, compression):
+    monkeypatch.setattr(warc, "CLASSES", (200, 3000, 40000))
+    monkeypatch.setattr(warc, "FILE_BYTES", 60000)
+    sizes = [10] * 40 + [2500] * 60 + [30000] * 5 + [200000] * 2
+    rows = [(i, "http://a.example", f"{i:06d}" + "q" * n) for i, n in enumerate(sizes)]
+    made = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    write_warc(made, f"{tmp_path}/w", compression)
+    found = [p.stat().st_size for p in _files(tmp_path / "w")]
+    largest = 201000 if compression == "none" else 60000
+    assert max(found) <= largest and len(found) >= 10
+    if compression == "none":
+        assert sorted(found)[-3] <= 60000 + 20 * 700 and sum(f > 80000 for f in found) == 2
+    back = {r["page_id"]: r for r in read_warc(spark, f"{tmp_path}/w").collect()}
+    assert {i: bytes(r["payload"]).decode() for i, r in back.items()} == {i: html for i, _, html in rows}
+
+
+def test_other_compressions_are_refused(pages, tmp_path):
+    with pytest.raises(ValueError, match="compression"):
+        write_warc(pages, f"{tmp_path}/w", "bzip2")
