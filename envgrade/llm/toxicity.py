@@ -164,6 +164,8 @@ def reject(docs: DataFrame, model, limit: float = 0.5, text_col: str = "text") -
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     at = names.index(text_col)
+    # By place, as a name may hold a dot.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_of(shared.value)
@@ -171,7 +173,7 @@ def reject(docs: DataFrame, model, limit: float = 0.5, text_col: str = "text") -
             keep = [scorer(t.as_py() or "") < limit for t in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*names)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,12 @@
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
+from envgrade.llm import toxicity
 from envgrade.llm.toxicity import fit, op9_toxicity, reject, score, scorer_of, train
 
 BAD = ["grumblex", "snarkface", "vilemop", "toadbrain"]
@@ -68,3 +71,63 @@ def test_one_class_gives_its_share(labels):
 def test_no_labels_at_all(spark, edge_docs):
     empty = spark.createDataFrame([], "doc_id long, toxic int")
     assert reject(edge_docs, train(edge_docs, empty)).count() == edge_docs.count()
+
+
+def _plain_buckets(text):
+    data, found = f" {text.lower()} ".encode(), set()
+    for n in toxicity.SIZES:
+        for i in range(len(data) - n + 1):
+            h = data[i]
+            for byte in data[i + 1 : i + n]:
+                h = (h * 16777619 & 0xFFFFFFFF) ^ byte
+            h = (h ^ n * 0x3779B1) * 0x85EBCA6B & 0xFFFFFFFF
+            found.add((h ^ h >> 15) >> 32 - toxicity.BUCKET_BITS)
+    return found
+
+
+def _plain_scores(texts, labels):
+    """Log-count ratios and the regression over them, one text, one n-gram at a time."""
+    grams = [_plain_buckets(t) for t in texts]
+    n = Counter(labels)
+    seen = {k: Counter(g for s, label in zip(grams, labels) if label == k for g in s) for k in (0, 1)}
+    ratio = {g: math.log((seen[1][g] + 1) / (n[1] + 1) / ((seen[0][g] + 1) / (n[0] + 1))) for g in seen[0] | seen[1]}
+    least = min(toxicity.SEEN_IN, max(1, len(texts) // 20))
+    ratio = {g: r for g, r in ratio.items() if seen[0][g] + seen[1][g] >= least and abs(r) >= toxicity.LEAST_RATIO}
+    weight, squares = dict.fromkeys(ratio, 0.0), dict.fromkeys(ratio, 1e-8)
+    bias, bias_squares = 0.0, 1e-8
+
+    def chance(found):
+        return 1 / (1 + math.exp(-(bias + sum(weight[g] * ratio[g] for g in found if g in ratio))))
+
+    for _ in range(toxicity.ROUNDS):
+        errors = [(chance(s) - label) * 0.5 / n[label] for s, label in zip(grams, labels)]
+        slope = Counter()
+        for s, e in zip(grams, errors):
+            for g in s & ratio.keys():
+                slope[g] += ratio[g] * e
+        for g in ratio:
+            squares[g] += slope[g] ** 2
+            step = toxicity.STEP / math.sqrt(squares[g])
+            moved = weight[g] - step * slope[g]
+            weight[g] = math.copysign(max(abs(moved) - step * toxicity.L1, 0.0), moved)
+        bias_squares += sum(errors) ** 2
+        bias -= toxicity.STEP / math.sqrt(bias_squares) * sum(errors)
+    return [chance(s) for s in grams]
+
+
+def test_scores_equal_a_plain_fit():
+    rows, labels = _rows(60)
+    texts = [t[:150] for _, t in rows] + ["", "é\U0001f600", "a" * 3000]
+    known = [label for _, label in labels] + [0, 1, 0]
+    model = fit(texts, np.array(known, np.int64))
+    scorer = scorer_of(model)
+    assert [scorer(t) for t in texts] == pytest.approx(_plain_scores(texts, known), abs=1e-4)
+
+
+def test_a_very_long_text(spark):
+    rows, labels = _rows(300)
+    model = train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    long = rows[1][1] * 3000
+    out = score(spark.createDataFrame([(1, long), (2, long + " grumblex")], "doc_id long, text string"), model).collect()
+    assert len(long) > 500_000 and all(0 <= r["score"] <= 1 for r in out)
+    assert out[1]["score"] != out[0]["score"]
