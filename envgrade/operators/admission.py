@@ -17,12 +17,27 @@ def with_radius(grid: DataFrame, cfg: Settings) -> DataFrame:
     return out.withColumn("radius_m", radius)
 
 
-def stations_in_radius(locations: DataFrame, grid: DataFrame, cfg: Settings) -> DataFrame:
-    """Locations within the radius of a grid point, with their distance.
+# A circle whose top or bottom lies beyond this latitude is searched in whole degrees, as its width in degrees grows.
+POLAR = 80.0
+FINEST = 10
+
+
+def _cell(degrees: Column, level: Column) -> Column:
+    return F.floor(degrees * F.pow(F.lit(2.0), level))
+
 
-    Each grid point is listed under the whole-degree cells its circle can touch, so
-    the search is an equi join on cells and an exact distance filter. Cells near a
-    pole span every longitude; near the date line they wrap.
+def _around(cell: Column, level: Column) -> Column:
+    """The number of a cell of longitude, counted from the date line."""
+    half = (F.lit(180) * F.pow(F.lit(2.0), level)).cast("bigint")
+    return F.pmod(cell + half, half * 2)
+
+
+def radius_candidates(locations: DataFrame, grid: DataFrame, cfg: Settings) -> DataFrame:
+    """Locations paired with the grid points whose circle touches their cell; a superset of the pairs in reach.
+
+    Cells are squares of 1, 1/2, 1/4 ... degrees. A grid point takes the size that fits its radius (more than half of
+    it, at most all of it), and is listed under the cells that its circle can touch, about a dozen. A location is
+    listed once for each size in use. Cells near a pole span every longitude; near the date line they wrap.
     """
     # A margin of 1 % covers the difference between the two earth radii.
     lat_reach = F.col("radius_m") * 1.01 / F.lit(cfg.degree_km * 1000.0)
@@ -30,29 +45,33 @@ def stations_in_radius(locations: DataFrame, grid: DataFrame, cfg: Settings) ->
     lon_reach = F.when(widest > 89.0, 180.0).otherwise(
         F.least(F.lit(180.0), lat_reach / F.cos(F.radians(widest)))
     )
-    cells = (
-        grid.withColumn(
-            "_lat",
-            F.explode(F.sequence(F.floor(F.col("grid_lat") - lat_reach), F.floor(F.col("grid_lat") + lat_reach))),
-        )
-        .withColumn(
-            "_lon",
-            F.explode(F.sequence(F.floor(F.col("grid_lon") - lon_reach), F.floor(F.col("grid_lon") + lon_reach))),
-        )
-        .withColumn("_lon", F.pmod(F.col("_lon") + 180, F.lit(360)) - 180)
+    fitting = F.least(F.lit(FINEST), F.greatest(F.lit(0), F.ceil(-F.log2(lat_reach)).cast("int")))
+    sized = grid.withColumn("_level", F.when((widest > POLAR) | (lat_reach <= 0), 0).otherwise(fitting).cast("int"))
+    # At most FINEST + 1 numbers, whatever the size of the grid.
+    levels = sorted(r[0] for r in sized.select("_level").distinct().collect() if r[0] is not None)
+
+    def touched(at: str, reach: Column) -> Column:
+        level = F.col("_level")
+        return F.sequence(_cell(F.col(at) - reach, level), _cell(F.col(at) + reach, level))
+
+    cells = sized.withColumn("_lat", F.explode(touched("grid_lat", lat_reach))).withColumn(
         # A reach over half the globe on both sides meets itself.
-        .dropDuplicates(["region", "city", "_lat", "_lon"])
+        "_lon", F.explode(F.array_distinct(F.transform(touched("grid_lon", lon_reach), lambda c: _around(c, F.col("_level")))))
     )
-    keyed = locations.withColumn("_lat", F.floor("latitude")).withColumn(
-        "_lon", F.pmod(F.floor("longitude") + 180, F.lit(360)) - 180
+    keyed = locations.withColumn("_level", F.explode(F.lit(levels).cast("array<int>"))).withColumns(
+        {
+            "_lat": _cell(F.col("latitude"), F.col("_level")),
+            "_lon": _around(_cell(F.col("longitude"), F.col("_level")), F.col("_level")),
+        }
     )
+    return keyed.join(cells, ["_level", "_lat", "_lon"], "inner").drop("_level", "_lat", "_lon")
+
+
+def stations_in_radius(locations: DataFrame, grid: DataFrame, cfg: Settings) -> DataFrame:
+    """Locations within the radius of a grid point, with their distance: an equi join on cells, then the distance."""
     distance = haversine_m(F.col("latitude"), F.col("longitude"), F.col("grid_lat"), F.col("grid_lon"))
-    return (
-        keyed.join(cells, ["_lat", "_lon"], "inner")
-        .withColumn("distance_m", distance)
-        .where(F.col("distance_m") <= F.col("radius_m"))
-        .drop("_lat", "_lon")
-    )
+    pairs = radius_candidates(locations, grid, cfg).withColumn("distance_m", distance)
+    return pairs.where(F.col("distance_m") <= F.col("radius_m"))
 
 
 def sensor_identity(cfg: Settings) -> Column:

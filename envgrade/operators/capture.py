@@ -328,14 +328,24 @@ def calls_by_status(calls: DataFrame) -> DataFrame:
 
 
 def station_population(stations: DataFrame, off_hour: DataFrame | None = None) -> DataFrame:
-    """Per city: distinct stations and hours, rows, exact median, range, off-hour rows."""
-    base = stations.groupBy("city").agg(
+    """Per city: distinct stations and hours, rows, exact median, range, off-hour rows.
+
+    Hours are numbers already, so they are counted as bits set, which combine map-side; counted as distinct values
+    beside the stations, each row would be copied for either.
+    """
+    hour = F.floor(F.unix_seconds("ts") / 3600)
+    parts = stations.groupBy("city", F.bitmap_bucket_number(hour).alias("part")).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("station_id").alias("stations"),
-        F.count_distinct(F.date_trunc("hour", "ts")).alias("hours"),
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(hour))).alias("hours"),
         F.min("pm25_ugm3").alias("min_value"),
         F.max("pm25_ugm3").alias("max_value"),
     )
+    base = parts.groupBy("city").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("hours").alias("hours"),
+        F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"),
+    )
+    distinct = stations.groupBy("city").agg(F.count_distinct("station_id").alias("stations"))
+    base = base.join(distinct, base["city"].eqNullSafe(distinct["city"])).drop(distinct["city"])
     medians = exact_percentiles(stations, ["city"], "pm25_ugm3", {"median_value": 0.5}).drop("n")
     out = base.join(medians, "city", "left")
     if off_hour is None:

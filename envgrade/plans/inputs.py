@@ -170,7 +170,9 @@ def messages_of(source: DataFrame) -> DataFrame:
 
 def hour_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One provider page of one hour entry per event, some of them unusable."""
-    base = _base(table(spark, sf_dir, "events"))
+    rows, cores = table(spark, sf_dir, "events"), spark.sparkContext.defaultParallelism
+    # Building and parsing pages is the work, so a small file does not leave it to the one task that scans it.
+    base = _base(rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows)
 
     def every(n: int) -> Column:
         return F.col("event_id") % n == 0
