@@ -13,6 +13,7 @@ from envgrade import schemas as S
 from envgrade.config import Settings, Stretch
 from envgrade.functions.scalars import mqo_tolerance
 from envgrade.operators.index import with_windows
+from envgrade.session import land
 
 
 class WindowViolation(ValueError):
@@ -179,30 +180,56 @@ def explode_comparisons(records: DataFrame) -> DataFrame:
     return records.select(*S.KEY, F.inline("city_comparisons"))
 
 
-def events_in_spans(events: DataFrame, spans: DataFrame, bin_minutes: int, splits: int = 8) -> DataFrame:
-    """Attach events to arbitrary half-open spans of their region.
+def span_nodes(spans: DataFrame, unit_minutes: int) -> DataFrame:
+    """Each half-open span under the dyadic nodes that make it up: at most two of each length, whatever the span's.
 
-    Tumbling windows never need this: their key is computed from ``ts``. For free
-    spans, each span is listed under the time bins it touches, which turns the
-    interval condition into an equi join plus a filter. There are few regions, so the
-    events of a bin are dealt into ``splits`` parts by their time, and spans, the small
-    side, are listed under each part. A span lists its length over ``bin_minutes`` bins.
+    A node of level k is 2**k units long and starts at a multiple of its length. A span that does not begin and end
+    with a unit is listed under the units it touches too.
     """
-    seconds = bin_minutes * 60
+    micros = unit_minutes * 60_000_000
+    low = F.floor(F.unix_micros("window_start") / micros)
+    high = F.floor((F.unix_micros("window_end") - 1) / micros) + 1
+    held = spans.withColumns({"_low": low, "_high": high}).where("_low < _high")
 
-    def bin_of(ts: Column) -> Column:
-        return F.floor(F.unix_seconds(ts) / F.lit(seconds))
+    def at(level: Column) -> Column:
+        size = F.pow(F.lit(2.0), level)
+        first, last = F.ceil(F.col("_low") / size), F.floor(F.col("_high") / size)
+        odd = [F.when((first < last) & (F.pmod(n, F.lit(2)) == 1), n) for n in (first, last)]
+        ends = (odd[0], odd[1] - 1)
+        return F.array(*[F.struct(level.cast("int").alias("_level"), n.cast("bigint").alias("_node")) for n in ends])
 
-    last = F.floor((F.unix_micros(F.col("window_end")) - 1) / F.lit(seconds * 1_000_000))
-    every_split = F.sequence(F.lit(0).cast("bigint"), F.lit(splits - 1).cast("bigint"))
-    listed = spans.withColumn("_bin", F.explode(F.sequence(bin_of(F.col("window_start")), last))).withColumn(
-        "_split", F.explode(every_split)
-    )
-    keyed = events.withColumns(
-        {"_bin": bin_of(F.col("ts")), "_split": F.pmod(F.xxhash64("ts"), F.lit(splits).cast("bigint"))}
+    levels = F.sequence(F.lit(0), F.ceil(F.log2(F.col("_high") - F.col("_low"))).cast("int"))
+    nodes = F.filter(F.array_distinct(F.flatten(F.transform(levels, at))), lambda n: n["_node"].isNotNull())
+    return held.select(*spans.columns, F.inline(nodes))
+
+
+def events_in_spans(events: DataFrame, spans: DataFrame, unit_minutes: int = 1, part_rows: int = 1_000_000) -> DataFrame:
+    """Attach events to arbitrary half-open spans of their region.
+
+    Tumbling windows never need this: their key is computed from ``ts``. Free spans, a minute or a year long, are listed
+    under dyadic nodes and an event under one node of each length in use, which turns the interval condition into an
+    equi join plus a filter. ``unit_minutes`` is the length of the smallest node; spans of one grid take that of the
+    grid, and are then listed once. The events of each node are counted first, which combines map-side. A node with
+    more than ``part_rows`` is dealt into parts by a hash of the row, and its spans are listed under each part.
+    """
+    micros, key = unit_minutes * 60_000_000, ["region", "_level", "_node"]
+    listed = span_nodes(spans, unit_minutes)
+    # One number per length of node.
+    levels = sorted(r[0] for r in listed.select("_level").distinct().collect())
+    unit = F.floor(F.unix_micros("ts") / micros)
+    keyed = events.withColumn("_level", F.explode(F.lit(levels).cast("array<int>"))).withColumn(
+        "_node", F.floor(unit / F.pow(F.lit(2.0), F.col("_level")))
     )
+    counts = keyed.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("_parts")).where("_parts > 1")
+    # Written down, its size is known: small, it goes to the events; large, its join is one that can be split.
+    hot = land(counts.join(listed.select(*key).distinct(), key, "left_semi"), "hot-nodes")
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    hashed = [F.col(f"`{c}`") for c, kind in events.dtypes if "map<" not in kind and "variant" not in kind]
+    own = F.pmod(F.xxhash64(*hashed), parts)
+    dealt = keyed.join(hot, key, "left").withColumn("_part", own).drop("_parts")
+    spread = listed.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
     return (
-        keyed.join(listed, ["region", "_bin", "_split"], "inner")
+        dealt.join(spread.drop("_parts"), [*key, "_part"], "inner")
         .where((F.col("ts") >= F.col("window_start")) & (F.col("ts") < F.col("window_end")))
-        .drop("_bin", "_split")
+        .drop("_level", "_node", "_part")
     )

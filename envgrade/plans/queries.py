@@ -570,7 +570,7 @@ def _(spark, d):
         "region", "window_start", (F.col("window_start") + F.expr("INTERVAL 12 HOURS")).alias("window_end")
     )
     ev = I.events(spark, d).select("region", "ts", "event_type")
-    return RC.events_in_spans(ev, spans, bin_minutes=360).groupBy("region", "window_start").agg(
+    return RC.events_in_spans(ev, spans, unit_minutes=360).groupBy("region", "window_start").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == S.STATION).alias("stations")
     )
 

@@ -1,3 +1,5 @@
+import math
+import random
 from datetime import timedelta
 
 import pytest
@@ -96,6 +98,34 @@ def test_free_spans_match_brute_force(spark, parts):
     assert [r["count"] for r in got] == [5]  # the end is exclusive, the start is not
 
 
+def test_spans_of_a_minute_and_a_year_in_one_join(spark):
+    """Against all pairs; lists stay short, and a crowded minute is dealt into parts."""
+    draw, start = random.Random(3), at("1969-11-01T00:00:00")
+    moments = [start + timedelta(seconds=draw.randrange(300 * 86400)) for _ in range(400)]
+    moments += [start + timedelta(days=50, seconds=draw.randrange(60)) for _ in range(200)]
+    events = [(draw.choice(["EUR", "NAM"]), m, i) for i, m in enumerate(moments)] + [("EUR", None, 999)]
+    spans = []
+    for i, length in enumerate([30, 60, 61, 3600, 86400, 7 * 86400 + 1, 365 * 86400] * 3):
+        low = start + timedelta(seconds=draw.randrange(100 * 86400)) if i % 2 else start + timedelta(days=50)
+        spans.append((draw.choice(["EUR", "NAM"]), low, low + timedelta(seconds=length), i))
+    spans += [("EUR", start, start, 90), (None, start, start + timedelta(days=400), 91), ("EUR", None, start, 92)]
+    left = spark.createDataFrame(events, "region string, ts timestamp, e int")
+    right = spark.createDataFrame(spans, "region string, window_start timestamp, window_end timestamp, s int")
+    want = sorted(
+        (e, s) for r, ts, e in events for q, low, high, s in spans
+        if r == q and ts is not None and low is not None and low <= ts < high
+    )
+    for part_rows in (1_000_000, 20):
+        got = RC.events_in_spans(left, right, part_rows=part_rows).select("e", "s").collect()
+        assert sorted(map(tuple, got)) == want
+    assert len(want) > 600
+    lists = {r.s: r["count"] for r in RC.span_nodes(right, 1).groupBy("s").count().collect()}
+    assert 90 not in lists and 92 not in lists
+    for _, low, high, s in spans[:21]:
+        minutes = (high - low).total_seconds() / 60 + 2
+        assert lists[s] <= 2 * math.log2(minutes) + 1
+
+
 def test_reports(parts):
     *_x, records, done = parts
     summary = R.run_summary(done).first()
