@@ -46,6 +46,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt over all cores, for work that costs far more than a shuffle of narrow rows.
+
+    A file is cut by bytes, but its rows come by row groups: one with fewer groups than cores would leave the work to a
+    few tasks, however many pieces it is read in.
+    """
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()))
+
+
 def region_of(ci: Column) -> Column:
     return F.element_at(F.array(*[F.lit(r) for r in REGIONS]), (F.floor(ci / 3) + 1).cast("int"))
 
@@ -140,7 +149,7 @@ def _spoilt(n: int, pattern: str, replacement: str):
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages_of(table(spark, sf_dir, "events"))
+    return messages_of(spread(table(spark, sf_dir, "events")))
 
 
 def messages_of(source: DataFrame) -> DataFrame:
@@ -170,9 +179,7 @@ def messages_of(source: DataFrame) -> DataFrame:
 
 def hour_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One provider page of one hour entry per event, some of them unusable."""
-    rows, cores = table(spark, sf_dir, "events"), spark.sparkContext.defaultParallelism
-    # Building and parsing pages is the work, so a small file does not leave it to the one task that scans it.
-    base = _base(rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows)
+    base = _base(spread(table(spark, sf_dir, "events")))
 
     def every(n: int) -> Column:
         return F.col("event_id") % n == 0
