@@ -56,13 +56,11 @@ def explode_station_hours(pages: DataFrame, locations: DataFrame, body: str = "b
     placed = pages.join(
         locations.select("location_id", "station_id", "city", "region"), "location_id", "inner"
     )
-    entries = placed.withColumn(
-        "_results", F.try_variant_get(F.try_parse_json(body), "$.results", "array<variant>")
-    )
+    # Exploded as an expression: of a column, the planner would ask for its size below the join, which parses every page,
+    # and makes its text, once more per question.
+    results = F.try_variant_get(F.try_parse_json(body), "$.results", "array<variant>")
     return read_hour_entry(
-        entries.select(
-            "location_id", "station_id", "city", "region", F.explode("_results").alias("entry")
-        )
+        placed.select("location_id", "station_id", "city", "region", F.explode(results).alias("entry"))
     )
 
 
