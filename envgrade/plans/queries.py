@@ -607,7 +607,7 @@ def _(spark, d):
 def _(spark, d):
     # Sensors that report as stations; AFR has none.
     reporting = I.stations(spark, d).select("station_id").distinct()
-    hours = I.gated_hours(spark, d).join(reporting, "station_id", "left_semi")
+    hours = I.landed_hours(spark, d).join(reporting, "station_id", "left_semi")
     return CP.cities_without_rows(I.candidate_locations(spark, d), hours)
 
 
