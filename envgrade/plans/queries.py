@@ -1062,20 +1062,27 @@ def _timed_messages(spark: SparkSession, d: str, parts) -> tuple[str, int]:
     """A folder of message files, faults included, span of time by span of time, and the number of files of each.
 
     The order matters: were a later span read first, the watermark would make the others late. For the same reason a
-    span is read in one batch. So all have the same number of files: as many as the table has partitions, PER_PART
-    at least, and empty ones where a span has too few rows.
+    span is read in one batch. So all have the same number of files: as many as the table has partitions, as there are
+    cores and PER_PART at least, and empty ones where a span has too few rows.
     """
     path = scratch_path(spark, "messages")
+    files = max(PER_PART, spark.sparkContext.defaultParallelism, I.table(spark, d, "events").rdd.getNumPartitions())
+    _add_messages(spark, d, parts, (path, files))
+    return path, files
+
+
+def _add_messages(spark: SparkSession, d: str, parts, source: tuple[str, int]) -> None:
+    """The files of further spans. Rows are dealt before they become messages, which is the work, and wide."""
+    path, files = source
     rows = I.table(spark, d, "events")
-    files = max(PER_PART, rows.rdd.getNumPartitions())
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    for i, (low, high) in enumerate(parts, 1):
-        part = rows.where(_in_span(low, high))
-        I.messages_of(part).select("value").repartition(files).write.mode("append").text(path)
-        for k in range(len(spark.read.text(path).inputFiles()), i * files):
-            fs.create(spark._jvm.org.apache.hadoop.fs.Path(folder, f"part-none-{i}-{k}.txt")).close()
-    return path, files
+    for low, high in parts:
+        before = len(spark.read.text(path).inputFiles()) if fs.exists(folder) else 0
+        part = rows.where(_in_span(low, high)).repartition(files)
+        I.messages_of(part).select("value").write.mode("append").text(path)
+        for k in range(len(spark.read.text(path).inputFiles()), before + files):
+            fs.create(spark._jvm.org.apache.hadoop.fs.Path(folder, f"part-none-{k}.txt")).close()
 
 
 def _read_messages(spark: SparkSession, source: tuple[str, int]) -> DataFrame:
