@@ -1178,8 +1178,9 @@ def _(spark, d):
 def _(spark, d):
     """A first run over half the messages; a second, with a new checkpoint, over all of them."""
     raw, index = scratch_path(spark, "raw"), scratch_path(spark, "index")
-    for parts in (I.QUARTERS[:2], I.QUARTERS):
-        source = _timed_messages(spark, d, parts)
+    source = _timed_messages(spark, d, I.QUARTERS[:2])
+    for further in ((), I.QUARTERS[2:]):
+        _add_messages(spark, d, further, source)
         _ended(flows.stream_raw(_read_messages(spark, source), CFG, raw, scratch_path(spark, "bad"), scratch_path(spark, "ck")))
         _ended(flows.stream_index(_read_messages(spark, source), CFG, index, scratch_path(spark, "ck")))
     kept = TB.read_raw(spark, raw).groupBy("region").agg(F.count(F.lit(1)).alias("raw_rows"))
